@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import lines, mixing, quality, sharding
+from . import binary, lines, mixing, packing, quality, sharding
 
 QUERIES = {
+    "op1_packing": packing.op1,
     "op2_mixing": mixing.op2,
+    "op3_ans_files": binary.op3,
     "op6_host_rules": quality.op6,
     "op8_sharding": sharding.op8,
     "op9_line_dedup": lines.op9,
