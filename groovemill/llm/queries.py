@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import binary, lines, mixing, packing, pii, quality, sharding, topk, urls
+from . import binary, lines, mixing, ngram_join, packing, pii, quality, sharding, topk, urls
 
 QUERIES = {
     "op1_packing": packing.op1,
     "op2_mixing": mixing.op2,
     "op3_ans_files": binary.op3,
+    "op4_ngram_join": ngram_join.op4,
     "op5_url_rules": urls.op5,
     "op6_host_rules": quality.op6,
     "op7_hamming_top_k": topk.op7,
