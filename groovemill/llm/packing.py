@@ -17,41 +17,38 @@ SEQUENCE_TOKENS = 1024
 SEQUENCE_SEGMENTS = 64
 END_ID = 0
 #: Pieces that wait to be packed at once.
-POOL = 4096
-
-
-def best_fit(sizes: np.ndarray, left: np.ndarray, limits: np.ndarray, free: np.ndarray) -> int:
-    """The free item that fits into what is left in every dimension and has the largest dot product with it, both in
-    units of the limits; the first of equal ones; -1 if none fits."""
-    fits = free & (sizes <= left).all(axis=1)
-    if not fits.any():
-        return -1
-    score = np.where(fits, (sizes / limits) @ (left / limits), -1.0)
-    return int(score.argmax())
+POOL = 1024
 
 
 def pack_pool(sizes: np.ndarray, limits: np.ndarray, cut: bool) -> list[list[tuple[int, int, int]]]:
     """Bins of (item, start, tokens). sizes: tokens, segments, loss-bearing tokens of each item; limits: of a bin.
 
-    Bins are filled one after another with the best fitting items. With cut, an item that doesn't fit is cut so that
-    the bin gets full, the rest staying in the pool: all bins but the last are full then, unless a segment limit binds.
-    An item beyond a limit that may not be cut is refused with ValueError.
+    Bins are filled one after another. Of the items that fit into what a bin has left in every dimension the one with
+    the largest dot product with it goes in, both in units of the limits; of equal ones the first of the largest in
+    tokens. With cut, an item that doesn't fit is cut so that the bin gets full, the rest staying in the pool: all bins
+    but the last are full then, unless a segment limit binds. An item beyond a limit is refused with ValueError.
     """
-    sizes, limits = sizes.astype(np.float64).copy(), limits.astype(np.float64)
     if len(sizes) and (sizes > limits).any():
         raise ValueError("an item is larger than a sequence")
-    start, free, bins = np.zeros(len(sizes), np.int64), np.ones(len(sizes), bool), []
     order = np.argsort(-sizes[:, 0], kind="stable")
-    sizes, live = sizes[order], len(order)
+    sizes, bins = sizes[order].astype(np.float64), []
+    unit = sizes / limits
+    start, free, live = np.zeros(len(order), np.int64), np.ones(len(order), bool), len(order)
     while live:
-        left, own = limits.copy(), []
-        while (i := best_fit(sizes, left, limits, free)) >= 0:
+        left, own = limits.astype(np.float64), []
+        while live:
+            fits = free & (sizes <= left).all(axis=1)
+            i = int(np.where(fits, unit @ (left / limits), -1.0).argmax())
+            if not fits[i]:
+                break
             own.append((int(order[i]), int(start[i]), int(sizes[i, 0])))
             left -= sizes[i]
             free[i] = False
             live -= 1
+            if left.min() < 1:
+                break
         if cut and live and left.min() >= 1:
-            i = int(np.flatnonzero(free)[(sizes[free] @ (left / limits)).argmax()])
+            i = int(np.where(free, unit @ (left / limits), -1.0).argmax())
             rate = sizes[i, 2] / sizes[i, 0]
             n = int(min(left[0], left[2] // rate if rate else left[0]))
             if 0 < n < sizes[i, 0]:
@@ -59,9 +56,10 @@ def pack_pool(sizes: np.ndarray, limits: np.ndarray, cut: bool) -> list[list[tup
                 start[i] += n
                 sizes[i, 0] -= n
                 sizes[i, 2] = np.ceil(rate * sizes[i, 0])
+                unit[i] = sizes[i] / limits
         bins.append(own)
-        if live and live < len(free) // 2:
-            sizes, start, order, free = sizes[free], start[free], order[free], free[free]
+        if live < 0.9 * len(free):
+            sizes, unit, start, order, free = sizes[free], unit[free], start[free], order[free], free[free]
     return bins
 
 

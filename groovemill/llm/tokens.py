@@ -8,7 +8,7 @@ from array import array
 import numpy as np
 
 #: Words held by the cache; beyond that it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 #: Longer texts are encoded piece by piece, cut where the splitting pattern has a boundary.
 PIECE_CHARS = 1 << 19
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
@@ -53,13 +53,16 @@ class Encoder:
         self._empty()
 
     def _empty(self) -> None:
-        model, chars = self.tokenizer.model, self.chars
+        tokenize, chars, space = self.tokenizer.model.tokenize, self.chars, self.chars[32]
         self.ids, self.starts = array("I"), array("q", [0])
         ids, starts = self.ids, self.starts
 
         class Words(dict):
             def __missing__(self, word: str) -> int:
-                ids.extend(t.id for t in model.tokenize(word.encode().decode("latin-1").translate(chars)))
+                plain = space + word[1:] if word[0] == " " else word
+                if not plain[1:].isalpha() or not word.isascii():
+                    plain = word.encode().decode("latin-1").translate(chars)
+                ids.extend([t.id for t in tokenize(plain)])
                 starts.append(len(ids))
                 self[word] = place = len(starts) - 2
                 return place
@@ -78,7 +81,8 @@ class Encoder:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         if len(self.words) > CACHE_WORDS:
             self._empty()
-        at = np.array(list(map(self.words.__getitem__, _SPLIT.findall(text))), np.int64)
+        found = _SPLIT.findall(text)
+        at = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
         starts = np.frombuffer(self.starts, np.int64)
         first, size = starts[at], starts[at + 1] - starts[at]
         ends = np.cumsum(size)
