@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groovemill.llm import lines, mixing, ngram_join, packing, quality
-from groovemill.llm.common import sized, staged, word_count
+from groovemill.llm.common import guarded, sized, staged, word_count
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a base rule or whose source is rejected as a host go."""
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    own, back = guarded(docs, "doc_id", "text", "source")
+    return back(quality.judge(own).filter("kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +36,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in whole repetitions, the one in which a share ends being rounded.
 
     Documents without words carry nothing for the mix and go."""
-    rows = docs.withColumn("size", word_count(F.col("text")))
+    own, back = guarded(docs, "doc_id", "text", "source")
+    rows = own.withColumn("size", word_count(F.col("text")))
     sizes = staged(rows.select("doc_id", "source", "size"), "mix-sizes")
     taken = mixing.mix(rows, sizes).filter("size > 0")
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    return taken.filter(copies > 0).withColumn("gm_copy", F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
+    return back(taken.filter(copies > 0).withColumn("gm_copy", F.explode(F.sequence(F.lit(1), copies))))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

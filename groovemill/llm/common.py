@@ -60,5 +60,17 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def guarded(df: DataFrame, *needed: str):
+    """(df, back): df with all columns but the needed ones under names that nothing else has, and a function that selects
+    df's own columns again, in their order, with new ones after them; a new column replaces an own one of its name."""
+    hidden = {c: f"gm_own_{i}" for i, c in enumerate(df.columns) if c not in needed}
+
+    def back(out: DataFrame, *new: str) -> DataFrame:
+        own = [F.col(f"`{hidden.get(c, c)}`").alias(c) for c in df.columns if c not in new]
+        return out.select(*own, *[F.col(f"`{c}`") for c in new])
+
+    return df.select(*[F.col(f"`{c}`").alias(hidden.get(c, c)) for c in df.columns]), back
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, documents, let, staged
+from .common import SPACES, ascii_lower, documents, guarded, let, staged
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -97,12 +97,11 @@ def keep_lines(lines: Column, bitmap: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, **rules) -> DataFrame:
-    """docs with gm_kept, the text without dropped lines, and gm_dropped, their number."""
-    names = [f"`{c}`" for c in docs.columns if c not in ("d", "t", "keep_bitmap", "n_dropped", "gm_kept", "gm_dropped")]
-    rows = docs.select(*names, doc_key(), text_key())
-    out = rows.join(line_bitmaps(docs, **rules), ["d", "t"], "left")
+    """docs with gm_kept, the text without dropped lines, and gm_dropped, their number; see line_bitmaps()."""
+    own, back = guarded(docs, "doc_id", "text")
+    out = own.select("*", doc_key(), text_key()).join(line_bitmaps(own, **rules), ["d", "t"], "left")
     kept = F.when(F.col("keep_bitmap").isNull(), F.coalesce("text", F.lit(""))).otherwise(let(split_lines(F.col("text")), lambda x: keep_lines(x, F.col("keep_bitmap"))))
-    return out.select(*names, kept.alias("gm_kept"), F.coalesce("n_dropped", F.lit(0)).cast("long").alias("gm_dropped"))
+    return back(out.withColumns({"gm_kept": kept, "gm_dropped": F.coalesce("n_dropped", F.lit(0)).cast("long")}), "gm_kept", "gm_dropped")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, sized, staged, word_count
+from .common import documents, guarded, sized, staged, word_count
 
 #: Documents a bucket holds on average; a source's fractional share is drawn within each of its buckets.
 BUCKET_DOCS = 65_536
@@ -76,11 +76,11 @@ def mix(rows: DataFrame, sizes: DataFrame | None = None, weights: Sequence[float
     repetition more of documents in an order seeded by doc_id, and a fraction of the document at which it is reached,
     so taken differs from the target by a word for each bucket of about BUCKET_DOCS documents. The order of rows and the
     partitions don't matter, so reruns agree. Rows that tie (one doc_id) share that fraction by size. Null doc_ids tie.
-    Other columns stay; sizes, by default rows, may be a narrower table of the same rows.
+    Other columns stay, whatever their names; sizes, by default rows, may be a narrower table of the same rows.
     """
     src, cuts = mix_plan((rows if sizes is None else sizes).select("doc_id", "source", "size"), weights, max_epochs, seed)
-    names = [c for c in rows.columns if c not in ("n_docs", "source_size", "weight", "target", "whole", "part", "n_buckets", "place", "bucket", "cut", "cut_words", "cut_size", "taken")]
-    out = _placed(rows.select(*names), src, seed)
+    own, back = guarded(rows, "doc_id", "source", "size")
+    out = _placed(own, src, seed)
     cuts = sized(cuts.withColumnsRenamed({"source": "cut_source", "bucket": "cut_bucket"}))
     out = out.join(cuts, out["source"].eqNullSafe(cuts["cut_source"]) & (out["bucket"] == cuts["cut_bucket"]), "left")
     more = (
@@ -89,7 +89,7 @@ def mix(rows: DataFrame, sizes: DataFrame | None = None, weights: Sequence[float
         .when(F.col("place") == F.col("cut"), F.floor(F.col("cut_words") * F.col("size") / F.col("cut_size")))
         .otherwise(0)
     )
-    return out.withColumn("taken", (F.col("whole") * F.col("size") + more).cast("long")).select(*names, "source_size", "target", "taken")
+    return back(out.withColumn("taken", (F.col("whole") * F.col("size") + more).cast("long")), "source_size", "target", "taken")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, documents, let, sized, staged
+from .common import SPACES, documents, guarded, let, sized, staged
 
 #: Words of a window in which repetition is looked for.
 WINDOW = 8
@@ -46,10 +46,9 @@ def base_rules(docs: DataFrame) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and base_failed.
 
     Null text has no words. Columns of docs with these names are replaced."""
-    made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "gm_words", "gm_lines", "gm_text")
-    keep = [f"`{c}`" for c in docs.columns if c not in made]
-    text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.select(*keep, text.alias("gm_text")).select("*", split_words(F.col("gm_text")).alias("gm_words"))
+    own, back = guarded(docs)
+    text = F.coalesce(F.col(f"`{own.columns[docs.columns.index('text')]}`"), F.lit(""))
+    out = own.select("*", text.alias("gm_text")).select("*", split_words(F.col("gm_text")).alias("gm_words"))
     bare = F.translate("gm_text", SPACES, "")
     lines = F.filter(F.split("gm_text", "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0)
     numbers = {
@@ -59,9 +58,9 @@ def base_rules(docs: DataFrame) -> DataFrame:
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
         "n_repeat_words": repeated_words(F.col("gm_words")),
     }
-    out = out.select(*keep, *[v.cast("long").alias(k) for k, v in numbers.items()])
+    out = out.select(*own.columns, *[v.cast("long").alias(k) for k, v in numbers.items()])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return out.withColumn("base_failed", failed)
+    return back(out.withColumn("base_failed", failed), *numbers, "base_failed")
 
 
 def host_verdicts(rows: DataFrame, host: str = "source", failed: str = "base_failed", max_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -82,12 +81,12 @@ def host_verdicts(rows: DataFrame, host: str = "source", failed: str = "base_fai
 
 
 def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """base_rules() of docs with kept: false if the document fails a base rule or its host is rejected."""
+    """base_rules() of docs with kept: false if the document fails a base rule or its host is rejected. All rows stay."""
     rows = staged(base_rules(docs), "rules")
-    hosts = sized(host_verdicts(rows, host, max_rate=max_rate).select(F.col("host").alias("gm_host"), "host_kept"))
-    names = [f"`{c}`" for c in rows.columns if c not in ("kept", "gm_host", "host_kept")]
-    out = rows.select(*names).join(hosts, F.col(host).eqNullSafe(F.col("gm_host")), "left")
-    return out.select(*names, (~F.col("base_failed") & F.coalesce("host_kept", F.lit(True))).alias("kept"))
+    hosts = sized(host_verdicts(rows, host, max_rate=max_rate).select(F.col("host").alias("gm_host"), F.col("host_kept").alias("gm_host_kept")))
+    out = rows.join(hosts, F.col(host).eqNullSafe(F.col("gm_host")), "left")
+    names = [f"`{c}`" for c in rows.columns if c != "kept"]
+    return out.select(*names, (~F.col("base_failed") & F.col("gm_host_kept")).alias("kept"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
