@@ -5,8 +5,8 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.dirname(__file__))
-import dumps as D  # noqa: E402
+
+from . import dumps as D
 
 from groovemill.errors import Fenced, ImportRefused  # noqa: E402
 from groovemill.operators.relations import RELATIONS  # noqa: E402
