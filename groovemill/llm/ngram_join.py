@@ -60,7 +60,8 @@ def _deal(bits: int, size: int):
             h, place = h[order], place[order]
             same = h[1:] == h[:-1]
             many = np.zeros(len(h), bool)
-            many[1:], many[:-1] = same, many[:-1] | same
+            many[1:] = same
+            many[:-1] |= same
             head = np.ones(len(h), bool)
             head[1:] = ~same
             local = np.bincount(place[many], minlength=len(n)).astype("<i4")
@@ -112,7 +113,8 @@ def _tally(table: pa.Table) -> pa.Table:
     s = h[order]
     same = s[1:] == s[:-1]
     twice = np.zeros(len(s), bool)
-    twice[1:], twice[:-1] = same, twice[:-1] | same
+    twice[1:] = same
+    twice[:-1] |= same
     shared = np.empty(len(s), bool)
     shared[order] = twice
     out = []
@@ -299,3 +301,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op4(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+    UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND 4)
+), n AS MATERIALIZED (
+  SELECT w.doc_id, count(s.s) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id
+), p AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS MATERIALIZED (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+), r(doc_id, y) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.y = l.x
+)
+SELECT n.doc_id, n.n AS n_shingles, min(r.y) AS component_id FROM n JOIN r USING (doc_id) GROUP BY ALL
+"""

@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_ngram_join": ngram_join.OP4_SQL,
     "op2_mixing": mixing.OP2_SQL,
     "op5_url_rules": urls.OP5_SQL,
     "op6_host_rules": quality.OP6_SQL,
