@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import logging
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
@@ -17,10 +16,9 @@ from ..functions.hashing import OWNER
 from ..operators import canonical, merge, relations
 from ..sources.xml_dump import chunk_index, dense_ordinals, read_dump, source_chunks
 from . import admission, ledger
+from .progress import Reporter
 from .store import SCHEMAS, Store
 
-log = logging.getLogger("groovemill")
-
 
 @dataclass(frozen=True)
 class Plan:
@@ -77,7 +75,7 @@ class Importer:
             if skipped:
                 return {"run": run, "status": "skipped"}
             try:
-                counts = {e: self._entity(plan, run, e) for e in plan.entities}
+                counts = {e: self._reported(plan, run, e) for e in plan.entities}
             except Exception as e:
                 self._finish(plan, run, "failed", f"{type(e).__name__}: {e}"[:500])
                 raise
@@ -126,6 +124,22 @@ class Importer:
             out[name] = self._read(name)
         return out
 
+    def _reported(self, plan: Plan, run: int, entity: str) -> int:
+        """Imports one entity, with records of its beginning and end."""
+
+        def observe() -> tuple[int, int | None]:
+            row = self._read("run_dump").filter((F.col("import_run_id") == run) & (F.col("entity_type") == entity)).select("processed_items", "total_items").first()
+            return (row.processed_items or 0, row.total_items) if row else (0, None)
+
+        report, ok = Reporter(entity, observe), False
+        report.start()
+        try:
+            out = self._entity(plan, run, entity)
+            ok = True
+            return out
+        finally:
+            report.finish(ok)
+
     def _entity(self, plan: Plan, run: int, entity: str) -> int:
         """Imports one entity and commits its tables with its ledger in one step."""
         base = self.store.manifest()
@@ -173,7 +187,6 @@ class Importer:
         if running.isEmpty():
             raise ImportRefused(f"run {run} isn't running any more")
         self.store.commit(frames, run, base)
-        log.info("entity=%s state=completed items=%d chunks=%d", entity, total, proof.completed_chunks)
         return total
 
     def _finish(self, plan: Plan, run: int, status: str, message: str | None = None) -> None:
