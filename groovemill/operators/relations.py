@@ -118,12 +118,20 @@ def of_entity(entity: str) -> list[Relation]:
     return [r for r in RELATIONS if r.entity == entity]
 
 
+def valid_ids(dump: DataFrame, entity: str) -> DataFrame:
+    """The distinct positive ids of the dump's elements: reads one column."""
+    return dump.select(number(F.col(ROOT_ID[entity])).alias("id")).filter("id >= 1").distinct()
+
+
 def valid_roots(dump: DataFrame, entity: str) -> DataFrame:
     """The dump's elements with `root_id`; those without a positive id are dropped, and of elements that repeat an id
-    the last in the source stays."""
+    the last in the source stays. Repeats are looked for in two columns first, so that whole elements are only joined
+    if there are any."""
     rows = dump.withColumn("root_id", number(F.col(ROOT_ID[entity]))).filter("root_id >= 1")
-    names = [c for c in rows.columns if c != "root_id"]
-    return rows.groupBy("root_id").agg(F.max_by(F.struct(*names), "ordinal").alias("r")).select("root_id", "r.*")
+    again = rows.groupBy("root_id").agg(F.max("ordinal").alias("last"), F.count("*").alias("times")).filter("times > 1").select(F.col("root_id").alias("again_id"), "last")
+    if again.isEmpty():
+        return rows
+    return rows.join(again, F.col("root_id") == F.col("again_id"), "left").filter("again_id IS NULL OR ordinal = last").drop("again_id", "last")
 
 
 def root_rows(rows: DataFrame, entity: str, observed_at: Column, seed_main_release: bool = False, as_of: int | None = None) -> DataFrame:

@@ -70,6 +70,7 @@ class Importer:
         skipped unless forced. A failed run leaves the data as they were and its progress on record."""
         if not plan.entities:
             raise ImportRefused("no entity is selected")
+        self._dumps: dict[str, DataFrame] = {}
         with self.store.locked(*admission.locks_of(plan.entities)):
             run, skipped, resumed = self._admit(plan)
             if skipped:
@@ -111,15 +112,21 @@ class Importer:
         self.store.commit({"run": runs.unionByName(self._rows("run", row)), "run_dump": run_dumps.unionByName(self._rows("run_dump", *dumps)), "run_chunk": chunks, "dump": catalog, "entity_state": state}, run)
         return run, False, resumed.id if resumed else None
 
-    def _references(self, plan: Plan, rows: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    def _dump(self, plan: Plan, entity: str) -> DataFrame:
+        """The entity's dump, parsed and staged once in a run."""
+        if entity not in self._dumps:
+            self._dumps[entity] = stage_dump(self.spark, plan.paths[entity], entity, self.staging)
+        return self._dumps[entity]
+
+    def _references(self, plan: Plan) -> dict[str, DataFrame]:
         """Ids that references may point at: of this import's dump if the entity is selected, else of the store."""
         out = {}
         for e in ("artist", "label", "master"):
-            stored = self._read(e).select("id")
-            fresh = rows.get(e)
-            out[e] = stored if fresh is None else fresh.select(F.col("root_id").alias("id"))
-            if fresh is not None and plan.reference_scope == "store":
-                out[e] = out[e].unionByName(stored).distinct()
+            out[e] = stored = self._read(e).select("id")
+            if e in plan.paths:
+                out[e] = relations.valid_ids(self._dump(plan, e), e)
+                if plan.reference_scope == "store":
+                    out[e] = out[e].unionByName(stored).distinct()
         for name in ("genre", "style"):
             out[name] = self._read(name)
         return out
@@ -144,11 +151,10 @@ class Importer:
         """Imports one entity and commits its tables with its ledger in one step."""
         base = self.store.manifest()
         observed = F.lit(self.now()).cast("timestamp_ntz")
-        dump = stage_dump(self.spark, plan.paths[entity], entity, self.staging)
-        rows = {e: relations.valid_roots(read_dump(self.spark, plan.paths[e], e), e) for e in plan.entities if e != entity}
-        own = rows[entity] = relations.valid_roots(dump, entity)
+        dump = self._dump(plan, entity)
+        own = relations.valid_roots(dump, entity)
         total = dump.count()
-        refs = self._references(plan, rows)
+        refs = self._references(plan)
         frames: dict[str, DataFrame] = {}
         seed = entity == "master" and admission.should_seed(self._read("entity_state"), run)
         roots = relations.root_rows(own, entity, observed, seed, plan.as_of)
@@ -163,7 +169,7 @@ class Importer:
                 found = relations.dictionary([children[f"{prefix}_{name}"]], name)
                 frames[name] = merge.insert_ignore(self._read(name), found, ["name"])
                 refs[name] = frames[name]
-        touched = own.select(F.col("root_id").alias("root"))
+        touched = own.select(F.col("root_id").alias("root")).distinct()
         for spec in relations.of_entity(entity):
             new = relations.identified(relations.referenced(children[spec.table], spec, refs), spec, plan.owner)
             new = canonical.canonical(new, spec, plan.owner).withColumn("last_modified_at", observed)

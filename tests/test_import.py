@@ -148,3 +148,12 @@ def test_scan_ordinals_and_chunks(spark, tmp_path):
     assert resume_rows(staged, done, 2).select(chunk_index(F.col("ordinal"), 2)).distinct().count() == 2
     with pytest.raises(ImportRefused):
         resume_rows(staged, done.withColumn("item_count", F.lit(1)), 2)
+
+
+def test_repeated_roots_and_ids(spark, tmp_path):
+    from groovemill.operators.relations import valid_ids, valid_roots
+
+    text = D.ARTISTS.replace("</artists>", "<artist><id> 2 </id><name>Two again</name></artist></artists>")
+    rows = read_dump(spark, D.write(tmp_path, artist=text)["artist"], "artist")
+    assert sorted((r.root_id, r.name) for r in valid_roots(rows, "artist").collect()) == [(1, "One"), (2, "Two again"), (3, "Three")]
+    assert sorted(r.id for r in valid_ids(rows, "artist").collect()) == [1, 2, 3]
