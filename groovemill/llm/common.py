@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -27,10 +28,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def staging(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/groovemill/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> bool:
+    """Removes all tables that this application has staged; results that still read them are lost."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staging(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet under the shared folder and reads it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/groovemill/{label}-{uuid.uuid4().hex}"
+    path = f"{staging(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -50,6 +63,15 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def count_below(bounds: list[int], value: Column) -> Column:
+    """How many of the ascending bounds are less than value, by halving in an array literal; none for a null."""
+    if not bounds:
+        return F.lit(0)
+    ends = F.array(*[F.lit(b).cast("long") for b in bounds])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda acc, s: F.when(F.get(ends, acc + s - 1) < value, acc + s).otherwise(acc))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
@@ -72,5 +94,16 @@ def guarded(df: DataFrame, *needed: str):
     return df.select(*[F.col(f"`{c}`").alias(hidden.get(c, c)) for c in df.columns]), back
 
 
+def give_back() -> None:
+    """Returns memory that a Python worker has freed to the system; workers live on between stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ def dropped_lines(occ: DataFrame, min_docs: int = MIN_DOCS, hot_lines: int = HOT
     cold = occ
     found = None
     if hot:
-        keys = F.broadcast(spark.createDataFrame([(x,) for x in hot], "hot long"))
+        keys = F.broadcast(spark.range(1, numPartitions=1).select(F.explode(F.from_json(F.lit(json.dumps(hot)), "array<long>")).alias("hot")))
         cold = occ.join(keys, F.col("h1") == F.col("hot"), "left_anti")
         warm = occ.join(keys, F.col("h1") == F.col("hot"), "left_semi")
         total = warm.groupBy("h1", "h2", "d").agg(F.lit(1).alias("one")).groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("d").alias("keeper"))

@@ -9,7 +9,7 @@ import json
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import count_below, documents
 
 #: Virtual nodes of a shard, and pieces into which the keys of an arc are dealt; shards * VNODES * PIECES bounds the table that is collected and broadcast.
 VNODES = 64
@@ -60,13 +60,10 @@ def shard(rows: DataFrame, key: str, shards: int = 8, slack: float = 0.0, vnodes
     if not 0 < shards * vnodes * pieces <= 200_000:
         raise ValueError("shards * vnodes * pieces must be from 1 to 200000")
     nodes = ring(shards, vnodes)
-    ends = F.array(*[F.lit(p) for p, _ in nodes])
     names = rows.columns
     h = F.coalesce(F.xxhash64(F.col(key)), F.lit(0))
     at = rows.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), h.alias("h"), F.shiftrightunsigned(h, 2).alias("pos"))
-    # the number of nodes before the position, by a search in the sorted literal
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(nodes).bit_length()))])
-    at = at.withColumn("arc", F.aggregate(steps, F.lit(0), lambda acc, s: F.when(F.coalesce(F.get(ends, acc + s - 1), F.lit(_SPAN)) < F.col("pos"), acc + s).otherwise(acc)))
+    at = at.withColumn("arc", count_below([p for p, _ in nodes], F.col("pos")))
     at = at.withColumn("arc", F.pmod(F.col("arc"), F.lit(len(nodes))))
     # copies of a key are dealt over the pieces as well: the piece comes from where the row was read
     at = at.withColumn("piece", F.pmod(F.xxhash64("h", F.struct("row.*")), F.lit(pieces)).cast("int"))

@@ -158,3 +158,11 @@ def test_line_bitmap_round_trip(spark):
 def test_digests(docs):
     out = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("c"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("s")).collect()
     assert all(r.c == zlib.crc32((r.text or "").encode()) and r.s == hashlib.sha256((r.text or "").encode()).hexdigest() for r in out)
+
+
+def test_staged_tables_can_be_dropped(spark, docs):
+    from groovemill.llm.common import drop_staged, staged
+
+    df = staged(docs.select("doc_id"), "x")
+    assert df.count() == docs.count()
+    assert drop_staged(spark) and not drop_staged(spark)
