@@ -19,6 +19,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: A side is broadcast only after its rows have been counted and are at most this many.
 BROADCAST_ROWS = 200_000
 
+#: Bytes of a batch between the engine and a Python worker.
+BATCH_BYTES = 4 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
@@ -94,6 +97,15 @@ def guarded(df: DataFrame, *needed: str):
     return df.select(*[F.col(f"`{c}`").alias(hidden.get(c, c)) for c in df.columns]), back
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of a batch that goes to a Python worker: by default only rows are bounded tightly, and long
+    texts make batches of hundreds of megabytes on both sides."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = spark.conf.get(key, None)
+    if not found or not found.isdigit() or int(found) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Returns memory that a Python worker has freed to the system; workers live on between stages."""
     import ctypes

@@ -10,18 +10,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, is_small, sized, staged
+from .common import bounded_batches, documents, give_back, is_small, sized, staged
 from .graph import components
 from .shingles import WORDS, mix, of_batch, signatures
 
 #: Links are sets whose intersection has at least PERCENT hundredths of their union.
 PERCENT = 80
 #: Tokens of a block of documents that are counted together, and the least number of ranges that tokens are dealt to.
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_000_000
 BLOCK_DOCS = 20_000
 RANGES = 256
 #: Tokens and documents of a cell; larger clusters are split into pairs of cells.
-CELL_TOKENS = 1_000_000
+CELL_TOKENS = 500_000
 CELL_DOCS = 3_000
 #: Ratio of sizes of a class; sets that link differ by 1.25 at most and so are in one class or in neighbouring ones.
 CLASS_RATIO = 1.26
@@ -90,6 +90,7 @@ def _deal(bits: int, size: int):
                     yield from give()
                     held = docs = 0
         yield from give()
+        give_back()
 
     return run
 
@@ -122,6 +123,8 @@ def _tally(table: pa.Table) -> pa.Table:
         place = np.frombuffer(r["b"], "<u2")[shared[b - len(x) : b]]
         have, n = np.unique(place, return_counts=True)
         out.append((r["key"], r["block"], have.astype("<u2").tobytes(), n.astype("<i4").tobytes(), None, None, None))
+    del ones, more, h, order, s, same, twice, shared
+    give_back()
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _NARROW, strict=True)], schema=_NARROW)
 
 
@@ -152,6 +155,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if rows:
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["node", "n", "grp", "prefix", "tokens"])
+    give_back()
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,55 +168,70 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), pa.array(grp)], names=["token", "grp"])
 
 
+def _runs(starts: np.ndarray, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The values of the lists at the places `at`, one after another."""
+    first, size = starts[at], starts[at + 1] - starts[at]
+    ends = np.cumsum(size)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)]
+
+
+def _index(keys: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, values) of the lists of values of each key below n."""
+    order = np.argsort(keys, kind="stable")
+    return np.concatenate([[0], np.cumsum(np.bincount(keys, minlength=n))]), values[order]
+
+
 def links_within(n: np.ndarray, tokens: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     """Links that join the sets into the components which all links among them make; a set's tokens are ascending.
 
     Tokens are ordered by how many of these sets have them. Sets with equal prefixes and sizes are one group; prefix
     tokens find pairs of groups, sizes and the shared part of the prefixes filter them, and the members of the pairs
-    that remain are verified unless they are joined already.
+    that remain are verified on their whole sets unless they are joined already.
     """
-    owner = np.repeat(np.arange(len(n)), n)
+    docs = np.repeat(np.arange(len(n), dtype=np.int32), n)
     _, code, count = np.unique(tokens, return_inverse=True, return_counts=True)
-    order = np.lexsort((code, count[code], owner))
-    ranked = code[order]
-    lead = n - least_shared(n) + 1
+    order = np.lexsort((code, count[code], docs))
+    ranked, lead = code[order], n - least_shared(n) + 1
+    del order
     prefix = [ranked[a : a + p] for a, p in zip(offsets[:-1].tolist(), lead.tolist(), strict=True)]
     groups: dict[tuple, int] = {}
-    group = np.array([groups.setdefault((int(n[i]), prefix[i].tobytes()), len(groups)) for i in range(len(n))])
-    members: list[list[int]] = [[] for _ in groups]
-    lists: dict[int, list[int]] = {}
-    every: dict[int, list[int]] = {}
+    by_size = np.argsort(n, kind="stable")
+    group, leader = np.empty(len(n), np.int32), []
+    for i in by_size.tolist():
+        g = group[i] = groups.setdefault((int(n[i]), prefix[i].tobytes()), len(groups))
+        if g == len(leader):
+            leader.append(i)
+    del groups
+    place = np.empty(len(n), np.int64)
+    place[by_size] = np.arange(len(n))
+    firsts = np.array(leader)
+    keys = np.concatenate([prefix[i] for i in leader])
+    heads, in_prefix = _index(keys, np.repeat(np.arange(len(leader), dtype=np.int32), lead[firsts]), len(count))
+    posts, in_set = _index(code, docs, len(count))
+    spans, members = _index(group, np.arange(len(n)), len(leader))
     root = np.arange(len(n))
     out: list[tuple[int, int]] = []
-    shared = count > 1
-    for i in np.argsort(n, kind="stable").tolist():
-        own = prefix[i][shared[prefix[i]]].tolist()
-        g = int(group[i])
-        found = [lists[t] for t in own if t in lists]
-        near, hits = np.unique(np.concatenate([np.array(x) for x in found]), return_counts=True) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
-        size = np.array([n[members[x][0]] for x in near.tolist()], np.int64)
+    for i in by_size.tolist():
+        own = prefix[i]
+        near, hits = np.unique(_runs(heads, in_prefix, own[count[own] > 1]), return_counts=True)
+        size, its_lead = n[firsts[near]], lead[firsts[near]]
         need = -(-PERCENT * (n[i] + size) // (100 + PERCENT))
-        near = near[(size * 100 >= PERCENT * n[i]) & (hits + np.maximum(n[i] - lead[i], size - (size - least_shared(size) + 1)) >= need)]
-        if members[g] and g not in near:
-            near = np.append(near, g)
-        cand = np.array([j for x in near.tolist() for j in members[x]], np.int64)
-        cand = cand[root[cand] != root[i]] if len(cand) else cand
+        near = near[(size <= n[i]) & (size * 100 >= PERCENT * n[i]) & (hits + np.maximum(n[i] - lead[i], size - its_lead) >= need)]
+        if group[i] not in near:
+            near = np.append(near, group[i])
+        cand = _runs(spans, members, near)
+        cand = cand[(place[cand] < place[i]) & (root[cand] != root[i])]
+        if not len(cand):
+            continue
         mine = code[offsets[i] : offsets[i + 1]]
         if len(cand) > 8:
-            rows = [every[t] for t in mine[shared[mine]].tolist() if t in every]
-            common = np.bincount(np.concatenate([np.array(x) for x in rows]), minlength=len(n))[cand]
+            common = np.bincount(_runs(posts, in_set, mine[count[mine] > 1]), minlength=len(n))[cand]
         else:
             common = np.array([len(np.intersect1d(mine, code[offsets[j] : offsets[j + 1]], assume_unique=True)) for j in cand.tolist()], np.int64)
-        for j in cand[100 * common >= PERCENT * (n[i] + n[cand] - common)].tolist() if len(cand) else ():
+        for j in cand[100 * common >= PERCENT * (n[i] + n[cand] - common)].tolist():
             if root[j] != root[i]:
                 out.append((i, j))
                 root[root == root[j]] = root[i]
-        if not members[g]:
-            for t in own:
-                lists.setdefault(t, []).append(g)
-        members[g].append(i)
-        for t in mine[shared[mine]].tolist():
-            every.setdefault(t, []).append(i)
     return out
 
 
@@ -221,6 +240,8 @@ def _verify(table: pa.Table) -> pa.Table:
     tokens = np.frombuffer(b"".join(x.as_buffer() for x in table["tokens"]), "<u8")
     found = links_within(n, tokens, np.concatenate([[0], np.cumsum(n)]))
     u, v = (np.array([node[p[k]] for p in found], np.int64) for k in (0, 1))
+    del tokens
+    give_back()
     return pa.table({"u": u, "v": v})
 
 
@@ -275,6 +296,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets. Empty sets link with nothing. Rows with a null doc_id get a null component_id and link with nothing; rows that
     repeat a doc_id are judged each by its text. An empty table gives no rows; other columns are left out.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     known = profile(docs)
     named = known.filter(F.col("active") & (F.col("doc_id") > -(2**63)))

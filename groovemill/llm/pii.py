@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import bounded_batches, documents
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
@@ -186,6 +186,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     through each character's source range. Plain spans always stay. Null and empty texts have none; an empty table
     gives no rows; other columns are left out.
     """
+    bounded_batches(docs.sparkSession)
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_disguised long"
     return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(_find, schema)
 

@@ -8,7 +8,7 @@ import pyarrow.compute
 
 WORDS = 5
 #: Bytes of text taken at once.
-BYTES = 1 << 21
+BYTES = 1 << 20
 _BASE, _MUL = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _NIL, _ONE = np.zeros(1, np.uint64), np.ones(1, np.uint64)
 
