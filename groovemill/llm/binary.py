@@ -13,30 +13,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rans
-from .common import documents, shared_dir
-from .tokens import encoder, vocabulary
+from .common import bounded_batches, count_below, documents, give_back, staging
+from .tokens import encoded, encoder, vocabulary
 
 END_ID = 2
 #: Ids are below this; the table of frequencies has as many entries.
 VOCABULARY = 50_257
-IDS = "part int, seq long, doc_id long, start long, n long, ids binary"
+IDS = "part int, seq long, doc_id long, start long, n long, ids binary, counts binary"
 BLOCKS = "part int, start long, n_ids long, doc_ids binary, no_id binary, sizes binary, words binary, checkpoints binary, checksum long"
 
 
 def _tokenise(path: str, end_id: int):
-    schema = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
+    """Rows of documents with their ids, and at the end of each task one row with its counts of ids, seq -1."""
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    schema = pa.schema(list(zip(("part", "seq", "doc_id", "start", "n", "ids", "counts"), kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, seq, start = encoder(path), TaskContext.get().partitionId(), 0, 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                rows = []
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    ids = np.append(enc.encode(text), end_id).astype("<u2")
-                    rows.append((part, seq, doc, start, len(ids), ids.tobytes()))
-                    seq, start = seq + 1, start + len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        counts = np.zeros(VOCABULARY, "<i8")
+        for docs, flat, ends in encoded(batches, enc, end_id):
+            counts += np.bincount(flat, minlength=VOCABULARY)
+            raw, edges = flat.astype("<u2").tobytes(), [0, *ends.tolist()]
+            k = range(len(docs))
+            cols = [[part] * len(docs), [seq + i for i in k], docs, [start + edges[i] for i in k], [edges[i + 1] - edges[i] for i in k], [raw[2 * edges[i] : 2 * edges[i + 1]] for i in k], [None] * len(docs)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+            seq, start = seq + len(docs), start + edges[-1]
+        if seq:
+            last = (part, -1, None, start, 0, None, counts.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(last, schema, strict=True)], schema=schema)
 
     return run
 
@@ -44,8 +48,8 @@ def _tokenise(path: str, end_id: int):
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(VOCABULARY, np.int64)
     for batch in batches:
-        for ids in batch.column(0):
-            total += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=VOCABULARY)
+        for own in batch.column(0):
+            total += np.frombuffer(own.as_buffer(), "<i8")
     have = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(have, pa.int32()), pa.array(total[have], pa.int64())], names=["id", "n"])
 
@@ -73,6 +77,7 @@ def _encode(freq: np.ndarray, bases: dict[int, int]):
                 size += len(row[4]) // 2
         if rows:
             yield block(rows, table)
+        give_back()
 
     return run
 
@@ -102,17 +107,22 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
     and `table` the frequencies that all blocks share, which are counted over all ids. A null or empty text is the end
     id alone; an empty table writes no blocks. Both are Parquet containers, so any store that Spark reaches will do.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_tokenise(path or vocabulary(), end_id), IDS).write.option("compression", "zstd").parquet(f"{folder}/ids")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    doc = F.col("doc_id").cast("long")
+    # the bounds come from a scan of doc_id alone; ranging by Spark would sample a scan of the texts
+    bounds = docs.agg(F.percentile_approx(doc, [i / n for i in range(1, n)] or [0.5], 10 * n).alias("b")).first().b or []
+    ordered = docs.select(doc.alias("doc_id"), "text").repartitionById(n, count_below(sorted(set(bounds)) if n > 1 else [], F.col("doc_id"))).sortWithinPartitions("doc_id", "text")
+    ordered.mapInArrow(_tokenise(path or vocabulary(), end_id), IDS).write.option("compression", "none").parquet(f"{folder}/ids")
     ids = spark.read.schema(IDS).parquet(f"{folder}/ids")
-    counts = ids.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    counts.coalesce(1).write.parquet(f"{folder}/table")
+    counts = ids.filter("counts IS NOT NULL").select("counts").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts.write.parquet(f"{folder}/table")
     freq = _table(spark, folder)
     total, bases = 0, {}
     for r in ids.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # a row for each partition written
         bases[r.part], total = total, total + r.n
-    blocks = ids.select("part", "seq", "doc_id", "start", "ids").mapInArrow(_encode(freq, bases), BLOCKS)
+    blocks = ids.filter("seq >= 0").select("part", "seq", "doc_id", "start", "ids").mapInArrow(_encode(freq, bases), BLOCKS)
     blocks.sortWithinPartitions("start").write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
@@ -131,6 +141,6 @@ def read_ids(spark, folder: str, with_ids: bool = False) -> DataFrame:
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/groovemill/ids-{uuid.uuid4().hex}"
+    folder = f"{staging(spark)}/ids-{uuid.uuid4().hex}"
     write_ids(documents(spark, sf_dir), folder)
     return read_ids(spark, folder)

@@ -10,14 +10,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import documents
-from .tokens import encoder, vocabulary
+from .common import bounded_batches, documents, give_back
+from .tokens import encoded, encoder, vocabulary
 
 SEQUENCE_TOKENS = 1024
 SEQUENCE_SEGMENTS = 64
 END_ID = 0
 #: Pieces that wait to be packed at once.
 POOL = 1024
+#: Words cached while packing: workers that wait for later stages keep them.
+PACK_WORDS = 250_000
+#: Rows given out at once; with ids a row has up to four bytes a token.
+BATCH_ROWS = 4_000
 
 
 def pack_pool(sizes: np.ndarray, limits: np.ndarray, cut: bool) -> list[list[tuple[int, int, int]]]:
@@ -88,7 +92,7 @@ def packer(path: str, end_id: int, limits: tuple[int, int, int], loss_share: flo
     most, bound = limits[0], np.array(limits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, out = encoder(path), _Out(with_ids)
+        enc, out = encoder(path, PACK_WORDS), _Out(with_ids)
         task = TaskContext.get()
         seq = (task.partitionId() if task else 0) << 33
         pool: list[tuple] = []  # document, ids of the piece, its start, tokens of the document
@@ -117,9 +121,8 @@ def packer(path: str, end_id: int, limits: tuple[int, int, int], loss_share: flo
                 put(b)
             pool = rest
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(enc.encode(text.as_py()), np.uint32(end_id)).astype(np.uint32)
+        for docs, flat, ends in encoded(batches, enc, end_id):
+            for doc, ids in zip(docs, np.split(flat, ends[:-1]), strict=True):
                 full = len(ids) // most * most if loss(most) <= limits[2] else 0
                 for s in range(0, full, most):
                     put([(doc, ids[s : s + most], s, len(ids))])
@@ -127,9 +130,10 @@ def packer(path: str, end_id: int, limits: tuple[int, int, int], loss_share: flo
                     pool.append((doc, ids[full:], full, len(ids)))
                 if len(pool) >= POOL:
                     flush(False)
-                yield from out.batches(20_000)
+                yield from out.batches(BATCH_ROWS)
         flush(True)
         yield from out.batches(1)
+        give_back()
 
     return run
 
@@ -145,6 +149,7 @@ def pack(
     unique, from the task and a running number. Repeated rows are packed as often as they occur; a null doc_id stays
     null; an empty table gives no rows; other columns are left out.
     """
+    bounded_batches(docs.sparkSession)
     limits = (tokens, segments, loss_tokens or tokens)
     run = packer(path or vocabulary(), end_id, limits, loss_share, cut, with_ids)
     schema = ", ".join(f"{n} long" for n in _Out.NAMES) + (", ids binary" if with_ids else "")

@@ -7,13 +7,14 @@ import zlib
 import numpy as np
 
 #: Frequencies sum to 2 ** SCALE; a state is in [2 ** 31, 2 ** 63) and gives up 32 bits at a time.
-SCALE = 20
-LANES = 512
+SCALE = 18
+LANES = 2048
 #: Ids of a block, about, and steps between checkpoints.
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 20
 CHECK_STEPS = 128
 _LOW = np.uint64(1 << 31)
 _U = np.uint64
+_MASK32, _TOP = _U(0xFFFFFFFF), _U(63 - SCALE)
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -31,19 +32,22 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """The shared frequencies with what coding needs; lookup by slot is built when first decoding."""
+    """The shared frequencies with what coding needs. One number holds a symbol's frequency and what precedes it, and
+    the symbols by slot are 16-bit, so that both stay in a core's cache; the latter are made when first decoding."""
 
     def __init__(self, freq: np.ndarray):
-        self.freq = freq.astype(np.uint64)
-        self.cum = np.cumsum(self.freq) - self.freq
-        self.top = self.freq << _U(43)
+        if len(freq) > 1 << 16:
+            raise ValueError("ids have 16 bits at most")
+        wide = freq.astype(np.uint64)
+        self.freq = wide
+        self.packed = (wide << _U(32)) | (np.cumsum(wide) - wide)
         self._symbol: np.ndarray | None = None
         self.pad = int(freq.argmax())
 
     @property
     def symbol(self) -> np.ndarray:
         if self._symbol is None:
-            self._symbol = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+            self._symbol = np.repeat(np.arange(len(self.freq), dtype=np.uint16), self.freq.astype(np.int64))
         return self._symbol
 
 
@@ -53,21 +57,21 @@ def encode(ids: np.ndarray, table: Table, lanes: int = LANES, every: int = CHECK
     A checkpoint holds, for a step, where its words begin and all lanes' states, so decoding can begin there.
     """
     steps = -(-len(ids) // lanes)
-    grid = np.full(steps * lanes, table.pad, np.int64)
+    grid = np.full(steps * lanes, table.pad, np.uint16)
     grid[: len(ids)] = ids
     grid = grid.reshape(steps, lanes)
-    if len(ids) and not table.freq[grid].all():
+    if (np.bincount(ids, minlength=len(table.freq))[: len(table.freq)] > 0)[table.freq == 0].any() or (len(ids) and ids.max() >= len(table.freq)):
         raise ValueError("an id has no frequency")
     x = np.full(lanes, _LOW)
     words, marks = [None] * steps, []
     for t in range(steps - 1, -1, -1):
-        s = grid[t]
-        f = table.freq[s]
-        over = x >= table.top[s]
+        p = table.packed[grid[t]]
+        f = p >> _U(32)
+        over = x >= f << _TOP
         words[t] = x[over].astype(np.uint32)
         x = np.where(over, x >> _U(32), x)
         q = x // f
-        x = (q << _U(SCALE)) + (x - q * f) + table.cum[s]
+        x = (q << _U(SCALE)) + (x - q * f) + (p & _MASK32)
         if t % every == 0:
             marks.append((t, x))
     at = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype("<u8")
@@ -79,10 +83,10 @@ def encode(ids: np.ndarray, table: Table, lanes: int = LANES, every: int = CHECK
 def decode(stream: bytes, checks: bytes, n: int, table: Table, checksum: int | None = None, lanes: int = LANES, every: int = CHECK_STEPS, segment: int | None = None) -> np.ndarray:
     """The n ids of a block, or only those from checkpoint `segment` to the next; ValueError if the checksum differs."""
     steps = -(-n // lanes)
-    words = np.frombuffer(stream, "<u4").astype(np.uint64)
+    words = np.frombuffer(stream, "<u4")
     marks = np.frombuffer(checks, "<u8").reshape(-1, lanes + 1)
     first, last = (0, steps) if segment is None else (segment * every, min(steps, (segment + 1) * every))
-    out = np.empty((last - first, lanes), np.uint32)
+    out = np.empty((last - first, lanes), np.uint16)
     if last > first:
         mark = marks[first // every]
         at, x = int(mark[0]), mark[1:].astype(np.uint64)
@@ -91,7 +95,8 @@ def decode(stream: bytes, checks: bytes, n: int, table: Table, checksum: int | N
             slot = x & mask
             s = table.symbol[slot]
             out[t - first] = s
-            x = table.freq[s] * (x >> _U(SCALE)) + slot - table.cum[s]
+            p = table.packed[s]
+            x = (p >> _U(32)) * (x >> _U(SCALE)) + slot - (p & _MASK32)
             low = np.flatnonzero(x < _LOW)
             x[low] = (x[low] << _U(32)) | words[at : at + len(low)]
             at += len(low)

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Words held by the cache; beyond that it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 600_000
 #: Longer texts are encoded piece by piece, cut where the splitting pattern has a boundary.
 PIECE_CHARS = 1 << 19
+#: Rows encoded together.
+GROUP_ROWS = 128
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 _OTHERS = "!-/:-@\\[-`{-~¡-©«¬®-±´¶-¸»¿×÷‐-‧‰-⁞"
 _SIMPLE = re.compile(rf"[\t-\r {_LETTERS}0-9{_OTHERS}]*")
@@ -44,9 +48,11 @@ class Encoder:
     once; all other texts go through the tokenizer as they are.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_words: int | None = None):
         from tokenizers import Tokenizer
 
+        self.most_words = most_words
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.chars = _byte_chars()
@@ -54,7 +60,7 @@ class Encoder:
 
     def _empty(self) -> None:
         tokenize, chars, space = self.tokenizer.model.tokenize, self.chars, self.chars[32]
-        self.ids, self.starts = array("I"), array("q", [0])
+        self.ids, self.starts = array("I"), array("i", [0])
         ids, starts = self.ids, self.starts
 
         class Words(dict):
@@ -71,33 +77,59 @@ class Encoder:
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of one text as unsigned 32-bit; null is empty."""
-        if not text:
-            return np.empty(0, np.uint32)
-        found = [self._piece(p) for p in pieces(text)]
-        return found[0] if len(found) == 1 else np.concatenate(found)
-
-    def _piece(self, text: str) -> np.ndarray:
-        if not _SIMPLE.fullmatch(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        if len(self.words) > CACHE_WORDS:
-            self._empty()
-        found = _SPLIT.findall(text)
-        at = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
-        starts = np.frombuffer(self.starts, np.int64)
-        first, size = starts[at], starts[at + 1] - starts[at]
-        ends = np.cumsum(size)
-        out = np.frombuffer(self.ids, np.uint32)[np.arange(ends[-1]) + np.repeat(first - ends + size, size)]
-        return out
-
+        return self.encode_batch([text])[0]
 
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and vocabulary."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes): the ids of all texts one after another, and how many each has."""
+        if len(self.words) > (self.most_words or CACHE_WORDS):
+            self._empty()
+        found: list[str] = []
+        upto, whole = [], {}
+        for i, text in enumerate(texts):
+            if text:
+                if _SIMPLE.fullmatch(text):
+                    for p in pieces(text):
+                        found += _SPLIT.findall(p)
+                else:
+                    parts = [np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, np.uint32) for p in pieces(text)]
+                    whole[i] = np.concatenate(parts)
+            upto.append(len(found))
+        at = np.fromiter(map(self.words.__getitem__, found), np.int32, len(found))
+        starts = np.frombuffer(self.starts, np.int32)
+        first = starts[at]
+        size = starts[at + 1] - first
+        ends = np.cumsum(size, dtype=np.int32)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = np.frombuffer(self.ids, np.uint32)[np.arange(total, dtype=np.int32) + np.repeat(first - ends + size, size)]
+        edges = np.concatenate([np.zeros(1, np.int64), ends.astype(np.int64)])[np.array([0, *upto])]
+        sizes = np.diff(edges)
+        if whole:
+            parts = np.split(flat, edges[1:-1])
+            for i, ids in whole.items():
+                parts[i], sizes[i] = ids, len(ids)
+            flat = np.concatenate(parts)
+        return flat, sizes
+
+
+_encoders: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str, most_words: int | None = None) -> Encoder:
+    """One encoder per worker, vocabulary and size of cache."""
+    key = (path, most_words)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
+
+
+def encoded(batches: Iterator[pa.RecordBatch], enc: Encoder, end_id: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(documents, ids, ends) of groups of rows of batches with a document and a text: the ids of all texts of a group,
+    end_id after each, and where each text's ids end."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, GROUP_ROWS):
+            part = batch.slice(at, GROUP_ROWS)
+            flat, sizes = enc.encode_batch(part.column(1).to_pylist())
+            yield part.column(0).to_pylist(), np.insert(flat, np.cumsum(sizes), np.uint32(end_id)), np.cumsum(sizes + 1)
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
