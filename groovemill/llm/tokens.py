@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Words held by the cache; beyond that it starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 #: Longer texts are encoded piece by piece, cut where the splitting pattern has a boundary.
 PIECE_CHARS = 1 << 19
 #: Rows encoded together.
