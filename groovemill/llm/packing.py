@@ -19,7 +19,7 @@ END_ID = 0
 #: Pieces that wait to be packed at once.
 POOL = 1024
 #: Words cached while packing: workers that wait for later stages keep them.
-PACK_WORDS = 250_000
+PACK_WORDS = 500_000
 #: Rows given out at once; with ids a row has up to four bytes a token.
 BATCH_ROWS = 4_000
 
