@@ -32,8 +32,6 @@ LOOKALIKES = {
 }
 #: Words of digits.
 DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-#: A run of spelled digits counts from this length on.
-MIN_SPELLED = 7
 
 
 def _folds() -> dict[str, str]:
@@ -47,12 +45,19 @@ def _folds() -> dict[str, str]:
 
 FOLDS = _folds()
 _FOLD = re.compile("[Α-χЀ-ӿ﹒﹫！-～𝐀-𝟿]")
-_BRACKET = re.compile(r"[ \t]*[\[({<][ \t]*(?:(at|@)|(dot|\.))[ \t]*[\])}>][ \t]*", re.I)
-_SPACED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:( at )|@)(?!(?:the|an?) )[A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{1,63}){1,8}(?![A-Za-z0-9-])", re.I)
-_DOT = re.compile(" dot ", re.I)
-_WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
-_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[ ,-]+)?(?:{_WORD}|[0-9]++)(?:[ ,-]++(?:{_WORD}|[0-9]++)){{{MIN_SPELLED - 1},63}}(?![A-Za-z])", re.I)
-_PART = re.compile(rf"(plus)|({_WORD})|([0-9]+)|([ ,-]+)", re.I)
+_OPEN, _CLOSE, _BLANK = "[({<", "])}>", " \t"
+_BRACKET = re.compile(r"[\[({<][ \t]*(?:(at|@)|(dot|\.))[ \t]*[\])}>]", re.A | re.I)
+_WORD = "(?:" + "|".join(DIGIT_WORDS) + ")(?![A-Za-z])"
+_FIRST = re.compile(rf"(?<![A-Za-z])(?:{_WORD}|plus(?![A-Za-z])|dot(?![A-Za-z]))", re.A | re.I)
+#: Digits, their words and what may stand between those of one number.
+_STRETCH = re.compile(rf"(?:[0-9]++|(?<![A-Za-z])(?:{_WORD}|plus(?![A-Za-z])))(?:[0-9]++|[ \t,.+()\[\]{{}}<>-]++|(?<![A-Za-z])(?:{_WORD}|(?:dot|plus)(?![A-Za-z])))*+", re.A | re.I)
+_PART = re.compile(rf"(plus[ \t,-]*(?=[0-9]|{_WORD}))|({_WORD})|([0-9]+)|([ \t]+dot[ \t]+)|([ \t,-]+)|.", re.A | re.I)
+_DOT = r"(?:[ \t]++dot[ \t]++|[ \t]*+[\[({<][ \t]*+(?:dot|\.)[ \t]*+[\])}>][ \t]*+)"
+_DOTS = re.compile(r"[ \t]+dot[ \t]+", re.A | re.I)
+_ANY_DOT = re.compile(_DOT, re.A | re.I)
+_CHAIN = re.compile(rf"[A-Za-z0-9._%+-]++(?:{_DOT}[A-Za-z0-9._%+-]++)*+(?:([ \t]++at[ \t]++)|@|[ \t]*+[\[({{<][ \t]*+(?:at|@)[ \t]*+[\])}}>][ \t]*+)?+", re.A | re.I)
+_SITE = re.compile(rf"[A-Za-z0-9-]++(?:(?:\.|{_DOT})([A-Za-z0-9-]++))++", re.A | re.I)
+_ARTICLE = re.compile(r"(?:the|an?) ", re.A | re.I)
 
 
 def emails(text: str) -> list[Span]:
@@ -105,30 +110,83 @@ def base_spans(text: str) -> dict[str, list[Span]]:
     }
 
 
+def _brackets(text: str) -> Iterator[tuple[int, int, str]]:
+    """Bracketed at and dot, with all brackets and blanks around them."""
+    last = 0
+    for m in _BRACKET.finditer(text):
+        start, end = m.span()
+        while True:
+            a, b = start, end
+            while a > last and text[a - 1] in _BLANK:
+                a -= 1
+            while b < len(text) and text[b] in _BLANK:
+                b += 1
+            if not (a > last and b < len(text) and text[a - 1] in _OPEN and text[b] in _CLOSE):
+                break
+            start, end = a - 1, b + 1
+        yield a, b, "@" if m[1] else "."
+        last = b
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """Spaced at and dot of addresses. A spaced at needs a spelled dot beside it and a last label that isn't a number."""
+    last = 0
+    for m in _CHAIN.finditer(text):
+        if m.start() < last or text[m.end() - 1] in _LOCAL_CHARS:
+            continue
+        site = _SITE.match(text, m.end())
+        if not site:
+            continue
+        if m[1]:
+            if site[1].isdecimal() or _ARTICLE.match(text, m.end()) or not (_ANY_DOT.search(text, m.start(), m.start(1)) or _ANY_DOT.search(text, site.start(), site.end())):
+                continue
+            yield m.start(1), m.end(1), "@"
+        yield from ((d.start(), d.end(), ".") for d in _DOTS.finditer(text, m.start(), site.end()))
+        last = site.end()
+
+
+def _numbers(text: str) -> Iterator[tuple[int, int, str]]:
+    """Spelled digits, plus and dot of stretches that have the digits of a phone number or the parts of an IP address;
+    whether they make one is left to the patterns. Blanks, commas and hyphens between single digits go, between others
+    a space is left."""
+    for m in _STRETCH.finditer(text):
+        if m.end() - m.start() < 9:
+            continue
+        parts = [(p.lastindex or 0, p.start() + m.start(), p.end() + m.start(), p[0]) for p in _PART.finditer(m[0])]
+        digits = sum(len(x) if k == 3 else k == 2 for k, _, _, x in parts)
+        dots = m[0].count(".") + m[0].lower().count("dot")
+        if digits < 4 or digits < 9 and dots < 3:
+            continue
+        words = any(k == 2 for k, *_ in parts)
+        single = [k == 2 or k == 3 and len(x) == 1 for k, _, _, x in parts]
+        for i, (k, a, b, x) in enumerate(parts):
+            if k == 1:
+                yield a, b, "+"
+            elif k == 2:
+                yield a, b, DIGIT_WORDS[x.lower()]
+            elif k in (4, 5) and 0 < i < len(parts) - 1 and parts[i - 1][0] in (2, 3) and parts[i + 1][0] in (2, 3):
+                if k == 4:
+                    yield a, b, "."
+                elif words:
+                    yield a, b, "" if single[i - 1] and single[i + 1] else " "
+
+
 def rewrites(text: str) -> list[tuple[int, int, str]]:
     """Non-overlapping (start, end, plain) replacements by position: what the transducers read and what they write."""
     found: list[tuple[int, int, str]] = []
     if not text.isascii() and _FOLD.search(text):
         found += [(m.start(), m.end(), FOLDS[m[0]]) for m in _FOLD.finditer(text) if m[0] in FOLDS]
-    if any(c in text for c in "[({<"):
-        found += [(m.start(), m.end(), "@" if m[1] else ".") for m in _BRACKET.finditer(text)]
     lower = text.lower()
-    if " dot " in lower:
-        for m in _SPACED.finditer(text):
-            if m[1]:
-                found.append((m.start(1), m.end(1), "@"))
-            found += [(d.start(), d.end(), ".") for d in _DOT.finditer(text, m.start(), m.end())]
-    if sum(lower.count(w) for w in DIGIT_WORDS) > 2:
-        for m in _SPELLED.finditer(text):
-            if sum(bool(p[2]) for p in _PART.finditer(m[0])) < 3:
-                continue
-            for p in _PART.finditer(m[0]):
-                plain = "+" if p[1] else DIGIT_WORDS.get(p[0].lower(), "") if not p[3] else None
-                if plain is not None:
-                    found.append((m.start() + p.start(), m.start() + p.end(), plain))
+    brackets = [] if not any(c in text for c in _OPEN) else list(_brackets(text))
+    found += brackets
+    dots = "dot" in lower
+    if (dots or any(x == "." for *_, x in brackets)) and ("@" in text or "at" in lower):
+        found += _addresses(text)
+    if (dots or "plus" in lower or any(w in lower for w in DIGIT_WORDS)) and _FIRST.search(text):
+        found += _numbers(text)
     out, last = [], 0
     for start, end, plain in sorted(found, key=lambda x: (x[0], -x[1])):
-        if start >= last:
+        if start >= last and text[start:end] != plain:
             out.append((start, end, plain))
             last = end
     return out
@@ -136,12 +194,11 @@ def rewrites(text: str) -> list[tuple[int, int, str]]:
 
 def normalise(text: str) -> tuple[str, list[int], list[int]]:
     """(plain, starts, ends): character i of plain comes from text[starts[i]:ends[i]]. Repeats until nothing changes,
-    as a folded letter may complete a word."""
-    plain, starts, ends = text, list(range(len(text))), list(range(1, len(text) + 1))
-    for _ in range(4):
-        edits = rewrites(plain)
-        if not edits:
-            break
+    as a folded letter may complete a word; each round leaves fewer letters, brackets or characters to fold."""
+    plain, starts, ends = text, [], []
+    while edits := rewrites(plain):
+        if not starts:
+            starts, ends = list(range(len(text))), list(range(1, len(text) + 1))
         parts, s2, e2, last = [], [], [], 0
         for a, b, new in edits:
             parts += [plain[last:a], new]
@@ -156,9 +213,9 @@ def normalise(text: str) -> tuple[str, list[int], list[int]]:
 def all_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     """(base, all): base_spans() of the text, and those with the spans that only the normalised text shows, as source positions."""
     base = base_spans(text)
-    if not rewrites(text):
-        return base, base
     plain, starts, ends = normalise(text)
+    if plain == text:
+        return base, base
     more = {k: sorted(set(base[k]) | {(starts[a], ends[b - 1]) for a, b in v}) for k, v in base_spans(plain).items()}
     return base, more
 
@@ -183,7 +240,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
     Spans are kind:start:end in code points of the source, end exclusive. Homoglyphs and full-width characters are
     folded, bracketed or spaced at/dot and spelled digits written plainly, and spans of the plain text are mapped back
-    through each character's source range. Plain spans always stay. Null and empty texts have none; an empty table
+    through each character's source range. A spaced at counts if a dot of the address is spelled or bracketed too, the
+    domain doesn't begin with an article and its last label isn't a number. Plain spans always stay. Null and empty texts have none; an empty table
     gives no rows; other columns are left out.
     """
     bounded_batches(docs.sparkSession)

@@ -288,6 +288,41 @@ def test_disguised_spans():
         assert base == more, text
 
 
+LESS_USUAL = {
+    "host 192 dot 168 dot 0 dot 1 ok": "192 dot 168 dot 0 dot 1",
+    "host 192.168 dot 0 [dot] 1 ok": "192.168 dot 0 [dot] 1",
+    "host one nine two dot one 6 eight dot zero dot one ok": "one nine two dot one 6 eight dot zero dot one",
+    "to john dot doe at example dot com please": "john dot doe at example dot com",
+    "to jo at mail.example dot com please": "jo at mail.example dot com",
+    "to jo at example [dot] com please": "jo at example [dot] com",
+    "to jo [at] example dot com please": "jo [at] example dot com",
+    "to jo [[at]] example ((dot)) com please": "jo [[at]] example ((dot)) com",
+    "call +1 415 five five five 0123 now": "+1 415 five five five 0123",
+    "call plus one (four one five) 555 zero one 23 now": "plus one (four one five) 555 zero one 23",
+    "card 4111 1111 1111 one one one one end": "4111 1111 1111 one one one one",
+    "card 4111 1111 1111 111 one end": "4111 1111 1111 111 one",
+    "call plus 1 415 555 0123 now": "plus 1 415 555 0123",
+}
+
+
+@pytest.mark.parametrize("text", LESS_USUAL)
+def test_disguises_in_few_parts(text):
+    base, more = pii.all_spans(text)
+    assert [text[a:b] for v in more.values() for a, b in v if (a, b) not in sum(base.values(), [])] == [LESS_USUAL[text]]
+
+
+@pytest.mark.parametrize("text", ["john dot doe@example.com", "the server at 10 dot 0 dot 0 dot 1", "priced at 3 dot 50", "one of the two at example.com", "two plus two, one dot", "ſix ſix ſix ſix ſix ſix ſix ſix ſix plus 1"])
+def test_disguises_beside_other_words(text):
+    base, more = pii.all_spans(text)
+    want = {"john dot doe@example.com": [text], "the server at 10 dot 0 dot 0 dot 1": ["10 dot 0 dot 0 dot 1"]}.get(text, [])
+    assert [text[a:b] for k, v in more.items() for a, b in v if (a, b) not in base[k]] == want
+
+
+@pytest.mark.parametrize("text", ["a dot " * 40_000, "[" * 50_000 + "." + "]" * 50_000, "[.] " * 40_000, "[" + " " * 100_000 + "at", "1 dot " * 40_000, "one, 2 " * 30_000, "a dot b at " * 20_000, "plus " * 40_000, "(one) " * 30_000])
+def test_disguises_take_linear_time(text):
+    test_long_texts_take_linear_time(text)
+
+
 def test_personal_data_rows(docs, nothing):
     out = pii.find_personal_data(docs).collect()
     assert len(out) == docs.count()
