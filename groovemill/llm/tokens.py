@@ -29,11 +29,13 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def pieces(text: str, size: int = PIECE_CHARS):
-    """The text in pieces that encode to the same ids as the whole."""
+def pieces(text: str, size: int = PIECE_CHARS, *, keep: tuple[str, ...] = ()):
+    """The text in pieces that encode to the same ids as the whole. No cut touches a string of keep."""
     at = 0
     while len(text) - at > size:
         cut = _CUT.search(text, at + size)
+        while cut and any(text.find(k, max(cut.start() - len(k), 0), cut.start() + len(k)) >= 0 for k in keep):
+            cut = _CUT.search(text, cut.start() + 1)
         if not cut:
             break
         yield text[at : cut.start()]
@@ -42,10 +44,10 @@ def pieces(text: str, size: int = PIECE_CHARS):
 
 
 class Encoder:
-    """Encodes texts as Tokenizer.encode(add_special_tokens=False) does, special tokens' strings being ordinary text.
+    """Encodes texts as Tokenizer.encode(add_special_tokens=False) does: an added token's string gives that token's id.
 
-    Texts of plain Latin characters are split by an equal pattern and each new word goes through the tokenizer's model
-    once; all other texts go through the tokenizer as they are.
+    Texts of plain Latin characters without an added token are split by an equal pattern and each new word goes through
+    the tokenizer's model once; all other texts go through the tokenizer as they are.
     """
 
     def __init__(self, path: str, most_words: int | None = None):
@@ -54,7 +56,7 @@ class Encoder:
         self.most_words = most_words
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.chars = _byte_chars()
         self._empty()
 
@@ -87,11 +89,12 @@ class Encoder:
         upto, whole = [], {}
         for i, text in enumerate(texts):
             if text:
-                if _SIMPLE.fullmatch(text):
+                added = tuple(k for k in self.added if k in text)
+                if not added and _SIMPLE.fullmatch(text):
                     for p in pieces(text):
                         found += _SPLIT.findall(p)
                 else:
-                    parts = [np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, np.uint32) for p in pieces(text)]
+                    parts = [np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, np.uint32) for p in pieces(text, keep=added)]
                     whole[i] = np.concatenate(parts)
             upto.append(len(found))
         at = np.fromiter(map(self.words.__getitem__, found), np.int32, len(found))

@@ -43,6 +43,21 @@ def test_ids_of_batches(enc, monkeypatch):
         assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [plain(enc, t) for t in texts]
 
 
+def test_ids_equal_the_tokenizer_as_loaded(enc, monkeypatch):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokens.vocabulary())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "日本 <|endoftext|> é", "a <|endoftext|", "a b c d <|endoftext|> " * 20]
+    for size in (tokens.PIECE_CHARS, 20):
+        monkeypatch.setattr(tokens.pieces, "__defaults__", (size,))
+        flat, sizes = enc.encode_batch(texts)
+        assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    text = "one EOS two three four"
+    assert list(tokens.pieces(text, 3)) == ["one", " EOS", " two", " three", " four"] and "".join(tokens.pieces(text, 3)) == text
+    assert list(tokens.pieces(text, 3, keep=("e EOS t",))) == ["one EOS two", " three", " four"]
+
+
 def test_packing(docs, nothing, enc):
     out = packing.pack(docs, with_ids=True).collect()
     want = Counter((r.doc_id, tuple(plain(enc, r.text) + [0])) for r in docs.select("doc_id", "text").collect())
