@@ -84,6 +84,28 @@ def test_packing(docs, nothing, enc):
     assert packing.pack(nothing).collect() == []
 
 
+def test_packing_counts_each_documents_loss(spark):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(150):
+        n = rnd.choice([3, 30, 60, 300])
+        prompt = rnd.choice([0, n // 2, n])
+        rows.append((i, " ".join(rnd.choice("abc") for _ in range(n)), rnd.choice([[prompt, n + 1], [0, 2, prompt, prompt + 5], None])))
+    df = spark.createDataFrame(rows, "doc_id long, text string, loss array<long>").coalesce(1)
+    ranges = {i: x or [] for i, _, x in rows}
+    out = packing.pack(df, tokens=100, segments=5, loss_tokens=30, loss="loss").collect()
+    by_seq, covered = defaultdict(list), Counter()
+    for r in out:
+        by_seq[r.sequence_id].append(r)
+        covered.update((r.doc_id, r.start + k) for k in range(r.length))
+    assert covered == Counter((i, k) for i, t, _ in rows for k in range(len(t.split()) + 1))
+    for own in by_seq.values():
+        loss = sum(any(a <= k < b for a, b in zip(ranges[r.doc_id][::2], ranges[r.doc_id][1::2], strict=True)) for r in own for k in range(r.start, r.start + r.length))
+        assert {r.loss_tokens for r in own} == {loss} and loss <= 30 and sum(r.length for r in own) <= 100 and len(own) <= 5
+    prompts = df.selectExpr("doc_id", "text", "cast(array() as array<long>) AS loss")
+    assert all(r.loss_tokens == 0 for r in packing.pack(prompts, tokens=100, loss_tokens=1, loss="loss").collect())
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 50), st.integers(0, 50)), max_size=40), st.booleans())
 def test_vector_packing_keeps_limits(items, cut):
