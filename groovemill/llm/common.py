@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,45 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, rows) else df
 
 
+class IdFilter:
+    """A Bloom filter over longs with at most MOST_BITS bits, built by partial bitmaps: whatever is in it passes, and of
+    other values less than one in 200 while it is sharp. It goes to tasks inside their function."""
+
+    MOST_BITS = 1 << 29
+    HASHES = 4
+
+    def __init__(self, bits: int, sharp: bool):
+        self.bits, self.sharp, self.data = bits, sharp, np.zeros(bits // 8, np.uint8)
+
+    @classmethod
+    def of(cls, ids: DataFrame) -> IdFilter:
+        """The filter of a column of longs that aren't null."""
+        n = ids.count()
+        out = cls(min(cls.MOST_BITS, max(1 << 15, 1 << (16 * n).bit_length())), 12 * n <= cls.MOST_BITS)
+        places, bits = out.places, out.bits
+
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(places(batch.column(0).to_numpy(zero_copy_only=False), bits).ravel() + 1)], names=["place"])
+
+        found = ids.mapInArrow(run, "place long").groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+        for r in found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("part")).toLocalIterator():
+            out.data[(r.bucket - 1) * 4096 : r.bucket * 4096] |= np.frombuffer(r.part, np.uint8)
+        return out
+
+    @staticmethod
+    def places(ids: np.ndarray, bits: int) -> np.ndarray:
+        """The places of each value, bits being a power of two."""
+        h = ids.astype(np.int64).view(np.uint64)[:, None] + np.arange(1, IdFilter.HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for _ in range(2):
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return ((h ^ (h >> np.uint64(32))) & np.uint64(bits - 1)).astype(np.int64)
+
+    def has(self, ids: np.ndarray) -> np.ndarray:
+        at = self.places(ids, self.bits)
+        return ((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value evaluated once."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -7,8 +7,9 @@ import pyarrow as pa
 import pyarrow.compute
 
 WORDS = 5
-#: Bytes of text taken at once.
+#: Bytes of text and texts taken at once.
 BYTES = 1 << 20
+ROWS = 10_000
 _BASE, _MUL = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _NIL, _ONE = np.zeros(1, np.uint64), np.ones(1, np.uint64)
 
@@ -82,12 +83,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tu
 
 
 def of_batch(texts: pa.Array):
-    """(first row, hashes, offsets) of runs of rows of a string column, about BYTES of text each; null is empty."""
+    """(first row, hashes, offsets) of runs of at most ROWS rows of a string column, about BYTES of text each; null is empty."""
     texts = texts.cast(pa.large_binary())
     ends = np.concatenate([[0], np.cumsum(np.array(pa.compute.coalesce(pa.compute.binary_length(texts), 0)))]).astype(np.int64)
     row = 0
     while row < len(texts):
-        upto = max(row + 1, int(np.searchsorted(ends, ends[row] + BYTES, "right")) - 1)
+        upto = min(row + ROWS, max(row + 1, int(np.searchsorted(ends, ends[row] + BYTES, "right")) - 1))
         data = np.frombuffer(b"".join(x or b"" for x in texts.slice(row, upto - row).to_pylist()), np.uint8)
         yield row, *shingle_sets(data, ends[row : upto + 1] - ends[row])
         row = upto

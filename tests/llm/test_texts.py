@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from groovemill.llm import binary, ngram_join, packing, pii, rans, shingles, tokens
+from groovemill.llm.common import IdFilter
 from groovemill.llm.graph import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -261,20 +262,65 @@ def test_shingle_counts(texts):
 
 def test_local_links_equal_brute_force():
     rnd = random.Random(3)
-    for _ in range(30):
+    for turn in range(30):
         base = [rnd.randrange(10**6) for _ in range(30)]
-        sets = [sorted({*rnd.sample(base, rnd.randrange(15, 30)), *[rnd.randrange(10**6) for _ in range(rnd.randrange(4))]}) for _ in range(25)] + [sorted(set(base))] * 2
+        sets = [{*rnd.sample(base, rnd.randrange(15, 30)), *[rnd.randrange(10**6) for _ in range(rnd.randrange(4))]} for _ in range(25)] + [set(base)] * 2
+        have = Counter(x for s in sets for x in s)
         n = np.array([len(s) for s in sets])
-        links = ngram_join.links_within(n, np.array([x for s in sets for x in s], np.uint64), np.concatenate([[0], np.cumsum(n)]))
-        label = list(range(len(sets)))
+        shared = [sorted((x for x in s if have[x] > 1), key=lambda x: (have[x], x)) for s in sets]
+        lead = np.array([len(x) - ngram_join.least_shared(len(s)) + 1 for x, s in zip(shared, sets, strict=True)])
+        can = np.flatnonzero(lead > 0)
+        offsets = np.concatenate([[0], np.cumsum([len(shared[i]) for i in can])])
+        want = closure({i: frozenset(s) for i, s in enumerate(sets)})
+        given = [want[i] if turn % 3 == 0 and i % 4 else 1000 + i for i in range(len(sets))]
+        links = ngram_join.links_within(n[can], lead[can], np.array([x for i in can for x in shared[i]], np.uint64), offsets, np.array(given)[can])
+        label = list(given)
         for a, b in links:
-            x, y = set(sets[a]), set(sets[b])
-            assert 100 * len(x & y) >= 80 * len(x | y)
+            a, b = int(can[a]), int(can[b])
+            assert 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
             label = [label[a] if v == label[b] else v for v in label]
-        want = closure({i: frozenset(s) for i, s in enumerate(sets)})
         assert len(set(label)) == len(set(want.values()))
 
 
+def test_join_of_one_passage_in_all(spark, monkeypatch):
+    """Every document holds one passage, so its tokens are in all prefixes or in none; families differ in the rest."""
+    monkeypatch.setattr(ngram_join, "PAIR_GROUPS", 3)
+    monkeypatch.setattr(ngram_join, "CELL_DOCS", 10)
+    rnd = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for _ in range(12):
+        own = [f"w{rnd.randrange(10**6)}" for _ in range(rnd.choice([2, 8, 14, 60]))]
+        for _ in range(rnd.randrange(1, 12)):
+            t = passage + own
+            for _ in range(rnd.randrange(3)):
+                t[rnd.randrange(len(t))] = f"x{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(t)))
+    check_join(spark, rows)
+
+
+def test_ids_pass_their_filter(spark):
+    own = spark.range(0, 30_000, 3)
+    found = IdFilter.of(own)
+    ids = np.arange(-10_000, 30_000)
+    passed = found.has(ids)
+    assert found.sharp and passed[10_000::3].all() and passed.sum() < 10_000 + 0.01 * len(ids)
+    assert not IdFilter.of(own.limit(0)).has(ids).any()
+
+
+def test_blocks_stay_below_the_places(spark):
+    import pyarrow as pa
+
+    assert max(len(o) - 1 for _, _, o in shingles.of_batch(pa.array(["a"] * 70_000))) <= shingles.ROWS
+    assert ngram_join.BLOCK_DOCS + shingles.ROWS < 1 << 16
+
+
+@pytest.mark.parametrize("size", [0, 10**9, 10**12, 10**15, 10**18])
+def test_ranges_grow_with_the_texts(size):
+    ranges = 1 << ngram_join.range_bits(size)
+    assert ngram_join.RANGES[0] <= ranges <= ngram_join.RANGES[1] and (ranges == ngram_join.RANGES[1] or size * 7 / 6 / ranges <= ngram_join.RANGE_BYTES)
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(i, i + 1) for i in range(200, 260)] + [(7, 7)] + [(rnd.randrange(60), rnd.randrange(60)) for _ in range(40)] + [(1000, k) for k in range(1001, 1100)]
