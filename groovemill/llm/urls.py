@@ -17,6 +17,8 @@ from .common import ascii_lower
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 #: What holds where no rule fits.
 DEFAULT = "allow"
+#: Rules are held by the driver and their filters by each task; more are refused.
+MOST_RULES = 1_000_000
 
 
 class Bloom:
@@ -25,17 +27,21 @@ class Bloom:
     def __init__(self, n: int, rate: float):
         self.size = max(64, math.ceil(n * 1.4427 * math.log2(1 / rate)))
         self.hashes = max(1, round(self.size / max(n, 1) * 0.6931)) if n * 16 > self.size else max(1, math.ceil(math.log2(1 / rate)))
-        self.bits = np.zeros(self.size, bool)
+        self.bits = np.zeros(-(-self.size // 8), np.uint8)
 
     def places(self, pairs: np.ndarray) -> np.ndarray:
         step = np.arange(self.hashes, dtype=np.uint64)
         return ((pairs[:, :1] + step * (pairs[:, 1:] | np.uint64(1))) % np.uint64(self.size)).astype(np.int64)
 
     def add(self, pairs: np.ndarray) -> None:
-        self.bits[self.places(pairs)] = True
+        at = self.places(pairs).ravel()
+        np.bitwise_or.at(self.bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
 
     def has(self, pairs: np.ndarray) -> np.ndarray:
-        return self.bits[self.places(pairs)].all(axis=1) if len(pairs) else np.zeros(0, bool)
+        if not len(pairs):
+            return np.zeros(0, bool)
+        at = self.places(pairs)
+        return ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
 
 
 def pairs(keys: Iterable[str], level: int) -> np.ndarray:
@@ -91,10 +97,10 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return ascii_lower(host), path
 
 
-def keys_of(host: Column, path: Column, lengths: Sequence[int]) -> Column:
-    """All keys under which a rule could list the url: each suffix of the host with each start of the path of a length
-    that some rule's path has."""
-    labels = F.split(host, r"\.")
+def keys_of(host: Column, path: Column, lengths: Sequence[int], most: int) -> Column:
+    """All keys under which a rule could list the url: each suffix of the host of at most as many labels as a rule's host
+    has, with each start of the path of a length that some rule's path has."""
+    labels = F.split(F.substring_index(host, ".", -most), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     starts = F.filter(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]), lambda p: p.isNotNull())
     return F.flatten(F.transform(suffixes, lambda s: F.transform(starts, lambda p: F.concat(s, p))))
@@ -108,20 +114,21 @@ def build(keys: DataFrame, rules: Sequence[tuple[str, str]]) -> dict[str, Cascad
     universe = keys.agg(F.approx_count_distinct("key").alias("n")).first().n or 0
     all_rules = {r for _, r in rules}
     lists = {a: sorted({r for b, r in rules if a == b}) for a in ("allow", "block")}
+    known = {a: frozenset(v) for a, v in lists.items()}
     out = {a: Cascade.start(v, universe) for a, v in lists.items()}
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch.column(0).unique().to_pylist()
             for a, cascade in out.items():
-                hit = [k for k, p in zip(found, cascade.levels[0].has(pairs(found, 0)), strict=True) if p and k not in lists[a]]
+                hit = [k for k, p in zip(found, cascade.levels[0].has(pairs(found, 0)), strict=True) if p and k not in known[a]]
                 yield pa.RecordBatch.from_arrays([pa.array([a] * len(hit), pa.string()), pa.array(hit, pa.string())], names=["action", "key"])
 
     false: dict[str, set[str]] = {a: set() for a in out}
     for r in keys.mapInArrow(passing, "action string, key string").distinct().collect():
         false[r["action"]].add(r["key"])
     for a, cascade in out.items():
-        more = [r for r, p in zip(sorted(all_rules), cascade.levels[0].has(pairs(sorted(all_rules), 0)), strict=True) if p and r not in lists[a]]
+        more = [r for r, p in zip(sorted(all_rules), cascade.levels[0].has(pairs(sorted(all_rules), 0)), strict=True) if p and r not in known[a]]
         cascade.close(lists[a], sorted(false[a] | set(more)))
     return out
 
@@ -136,10 +143,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, default: s
     for action, rule in rules:
         if action not in ("allow", "block") or "/" not in rule:
             raise ValueError(f"not a rule: {action} {rule}")
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
     lengths = sorted({len(r) - r.index("/") for _, r in rules}) or [1]
+    most = max((r.count(".", 0, r.index("/")) + 1 for _, r in rules), default=1)
     host, path = host_and_path(F.col("url"))
     rows = pages.select(pages["page_id"].cast("long"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths))
+    rows = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths, most))
     cascades = build(rows.select(F.explode("keys").alias("key")), rules)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
