@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 #: The shapes of dates.
 YEAR = r"^(\d{4}).*$"
 MONTH = r"^\w{2,4}[- /.](0*[1-9]|1[0-2])(?:[- /.].*)?$"
@@ -16,26 +18,24 @@ FLAT = r"^(\d{4})(\d{2})(\d{2})$"
 
 
 def _group(c: Column, pattern: str, i: int) -> Column:
-    """A group as int; null without a match or if it isn't a number."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, i).try_cast("int"))
+    """A group as int; null without a match or if it isn't a number. No group of a match is empty."""
+    return F.nullif(F.regexp_extract(c, pattern, i), F.lit("")).try_cast("int")
 
 
 def _in(c: Column, low: int, high: int) -> Column:
     return F.when((c >= low) & (c <= high), c)
 
 
-def _year(c: Column, as_of: int) -> Column:
-    return _in(F.coalesce(_group(c, FLAT, 1), _group(c, YEAR, 1)), 1001, as_of)
-
-
-def _month(c: Column) -> Column:
-    return F.coalesce(_in(_group(c, FLAT, 2), 1, 12), _in(_group(c, MONTH_PRESENT, 1), 1, 12))
+def _parts(c: Column, as_of: int) -> Column:
+    """Year, month and day as far as each is valid, as a struct y, m, d of what can be told from the text alone."""
+    year = _in(F.coalesce(_group(c, FLAT, 1), _group(c, YEAR, 1)), 1001, as_of)
+    month = F.coalesce(_in(_group(c, FLAT, 2), 1, 12), _in(_group(c, MONTH_PRESENT, 1), 1, 12))
+    return F.struct(year.alias("y"), month.alias("m"), F.coalesce(_group(c, FLAT, 3), _group(c, DAY, 3)).alias("d"))
 
 
-def _day(c: Column, as_of: int) -> Column:
-    day = F.coalesce(_group(c, FLAT, 3), _group(c, DAY, 3))
-    last = F.day(F.last_day(F.make_date(_year(c, as_of), _month(c), F.lit(1))))
-    return F.when((day >= 1) & (day <= last), day)
+def _day(p: Column) -> Column:
+    last = F.day(F.last_day(F.make_date(p["y"], p["m"], F.lit(1))))
+    return F.when((p["d"] >= 1) & (p["d"] <= last), p["d"])
 
 
 def is_year_valid(c: Column) -> Column:
@@ -47,19 +47,20 @@ def is_month_valid(c: Column) -> Column:
 
 
 def is_day_valid(c: Column, as_of: int | None = None) -> Column:
-    return _day(c, as_of or dt.date.today().year).isNotNull()
+    return let(_parts(c, as_of or dt.date.today().year), lambda p: _day(p).isNotNull())
 
 
 def parse_malformed(c: Column, as_of: int | None = None) -> Column:
     """The date that a malformed text means: odd characters count as 0; a year from 1001 to as_of is needed, a missing
     or impossible month or day is the first. A month in which an underscore stands isn't one."""
     as_of = as_of or dt.date.today().year
-    s = F.regexp_replace(c, r"[^\d._/ -]", "0")
-    some = F.length(F.btrim(F.regexp_replace(s, "0", ""))) > 0
-    year, month = _year(s, as_of), _month(s)
-    day = F.when(month.isNotNull(), F.coalesce(_day(s, as_of), F.lit(1))).otherwise(1)
-    blank = F.length(F.btrim(s)) == 0
-    return F.when(~blank & (some | (F.length(F.regexp_replace(s, "0", "")) > 0)), F.make_date(year, F.coalesce(month, F.lit(1)), day))
+
+    def date(p: Column) -> Column:
+        day = F.when(p["m"].isNotNull(), F.coalesce(_day(p), F.lit(1))).otherwise(1)
+        return F.make_date(p["y"], F.coalesce(p["m"], F.lit(1)), day)
+
+    plain = lambda s: F.when(F.length(F.btrim(s)) > 0, let(_parts(s, as_of), date))
+    return let(F.regexp_replace(c, r"[^\d._/ -]", "0"), plain)
 
 
 def path_date(path: Column) -> Column:

@@ -26,10 +26,10 @@ def domain(relation: str, what: str, owner: str = OWNER) -> str:
 
 def java_hash(c: Column) -> Column:
     """Java's String.hashCode(): 31-fold sums over UTF-16 units, wrapped to 32 bits, signed."""
-    units = F.hex(F.encode(c, "UTF-16BE"))
-    places = F.when(F.length(units) > 0, F.sequence(F.lit(1), F.length(units), F.lit(4))).otherwise(F.array().cast("array<int>"))
-    step = lambda acc, i: F.pmod(acc * 31 + F.conv(F.substring(units, i, F.lit(4)), 16, 10).cast("long"), F.lit(1 << 32))
-    return F.aggregate(places, F.lit(0).cast("long"), step, signed32)
+    # the units are cut once: a place in a long string is found by counting from its beginning
+    units = F.regexp_extract_all(F.hex(F.encode(c, "UTF-16BE")), F.lit("(....)"), F.lit(1))
+    step = lambda acc, u: F.pmod(acc * 31 + F.conv(u, 16, 10).cast("long"), F.lit(1 << 32))
+    return F.aggregate(units, F.lit(0).cast("long"), step, signed32)
 
 
 def signed32(c: Column) -> Column:

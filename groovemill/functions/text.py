@@ -18,6 +18,11 @@ ENTITIES = ("artist", "label", "master", "release")
 UNITS = {"B": 1, "KB": 1 << 10, "MB": 1 << 20, "GB": 1 << 30, "TB": 1 << 40}
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value evaluated once a row however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def unicode_trim(c: Column) -> Column:
     """Strips Unicode white space at both ends; an empty result is null."""
     return F.nullif(F.regexp_replace(c, f"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+$", ""), F.lit(""))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing
@@ -58,32 +59,23 @@ def allocate(rows: list[tuple[int, bytes]], ask: Callable[[bytes, int], int], at
 
 
 def with_slots(rows: DataFrame, spec: Relation, owner: str = hashing.OWNER) -> DataFrame:
-    """rows with `hash` replaced by slots. Scopes without a collision, nearly all, keep their hashes in SQL; only scopes
-    with one go to Python, each by itself."""
+    """rows with `hash` replaced by slots. One exchange brings the rows of a scope together; scopes without a collision,
+    nearly all, keep their hashes in SQL; only scopes with one go to Python, each by itself."""
     if not spec.digest:
         return rows
-    per_hash = rows.groupBy(*spec.scope, "hash").agg(F.count("*").alias("n")).filter("n > 1").select(*spec.scope).distinct()
-    same = None
-    marked = per_hash.select(*[F.col(c).alias(f"k_{c}") for c in spec.scope])
-    for c in spec.scope:
-        test = rows[c].eqNullSafe(marked[f"k_{c}"])
-        same = test if same is None else same & test
-    plain = rows.join(marked, same, "left_anti")
-    crowded = rows.join(marked, same, "left_semi")
+    own = rows.repartition(*spec.scope)
+    own = own.withColumn("n_same", F.count("*").over(Window.partitionBy(*spec.scope, "hash")))
+    own = own.withColumn("n_same", F.max("n_same").over(Window.partitionBy(*spec.scope)))
     relation = spec.digest
 
-    def probe(pdf):
-        pairs = [(int(h), bytes(d)) for h, d in zip(pdf["hash"], pdf["identity_sha256"], strict=True)]
-        pdf["hash"] = allocate(pairs, lambda d, attempt: hashing.slot_of(relation, d, attempt, owner))
-        return pdf
+    def probe(table: pa.Table) -> pa.Table:
+        pairs = list(zip(table["hash"].to_pylist(), table["identity_sha256"].to_pylist(), strict=True))
+        slots = allocate(pairs, lambda d, attempt: hashing.slot_of(relation, d, attempt, owner))
+        at = table.schema.get_field_index("hash")
+        return table.set_column(at, table.schema.field(at), pa.array(slots, table.schema.field(at).type))
 
-    needed = crowded.select(*spec.scope, "hash", "identity_sha256")
-    slots = needed.groupBy(*spec.scope).applyInPandas(probe, needed.schema).select(F.col("hash").alias("slot"), *[F.col(c).alias(f"k_{c}") for c in (*spec.scope, "identity_sha256")])
-    same = slots["k_identity_sha256"] == crowded["identity_sha256"]
-    for c in spec.scope:
-        same = same & crowded[c].eqNullSafe(slots[f"k_{c}"])
-    moved = crowded.join(slots, same).withColumn("hash", F.col("slot")).select(*rows.columns)
-    return plain.unionByName(moved)
+    crowded = own.filter("n_same > 1").drop("n_same")
+    return own.filter("n_same = 1").drop("n_same").unionByName(crowded.groupBy(*spec.scope).applyInArrow(probe, crowded.schema))
 
 
 def canonical(rows: DataFrame, spec: Relation, owner: str = hashing.OWNER) -> DataFrame:
@@ -91,8 +83,3 @@ def canonical(rows: DataFrame, spec: Relation, owner: str = hashing.OWNER) -> Da
     rest = [c for c in (*spec.payload, *(["hash"] if spec.digest else [])) if c in rows.columns]
     once = collapse(rows, spec.identity, rest, ["place", *rest])
     return with_slots(once, spec, owner).select(*spec.columns)
-
-
-def ranked_within(rows: DataFrame, bucket: Column, digest: Column) -> DataFrame:
-    """rows with `rank` by digest among those of one bucket: who keeps a hash and who has to move."""
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(bucket).orderBy(digest)))

@@ -94,41 +94,45 @@ def _current(run_dumps: DataFrame, checkpoints: DataFrame) -> DataFrame:
     return c.join(d, (F.col("c_entity") == F.col("d_entity")) & (F.col("c_run") == F.col("d_run")), "left").select("c_entity", "c_run", "applied_at", "current_dump", "current_revision")
 
 
+def _of(rows: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Rows of candidate runs alone: what is looked up of a run is looked up of these few."""
+    ids = candidates.select(F.col("id").alias("candidate"))
+    return rows.join(ids, F.col("import_run_id") == F.col("candidate"), "left_semi")
+
+
 def current_successes(runs: DataFrame, run_dumps: DataFrame, checkpoints: DataFrame, manifest: str, revision: Column | None = None) -> DataFrame:
     """Successful runs of the manifest that are what the catalog holds: same revisions, every dump current, and no
     later failure on their entities. The newest comes first."""
-    current = _current(run_dumps, checkpoints)
-    own = run_dumps.join(current, F.col("entity_type") == F.col("c_entity"), "left")
+    out = runs.filter((F.col("manifest_sha256") == manifest) & (F.col("status") == "success"))
+    theirs = _of(run_dumps, out)
+    own = theirs.join(_current(run_dumps, checkpoints), F.col("entity_type") == F.col("c_entity"), "left")
     moved = own.filter(~F.col("current_dump").eqNullSafe(F.col("dump_id"))).select(F.col("import_run_id").alias("id"))
     failed = runs.filter("status = 'failed'").select(F.col("id").alias("f_id"), F.col("completed_at").alias("f_at"))
     failures = run_dumps.select(F.col("entity_type").alias("f_entity"), F.col("import_run_id").alias("f_id")).join(failed, "f_id")
     # the latest failure of an entity decides: one row per entity instead of all pairs
     worst = failures.groupBy("f_entity").agg(F.max(F.struct("f_at", "f_id")).alias("worst"))
     later = own.join(worst, F.col("entity_type") == F.col("f_entity")).filter(F.struct(F.col("worst.f_at"), F.col("worst.f_id")) > F.struct(F.col("applied_at"), F.col("c_run"))).select(F.col("import_run_id").alias("id"))
-    out = runs.filter((F.col("manifest_sha256") == manifest) & (F.col("status") == "success"))
-    for bad in (_other_revision(run_dumps, _revision() if revision is None else revision), moved, later):
-        out = out.join(bad, "id", "left_anti")
-    return out.orderBy(F.col("completed_at").desc(), F.col("id").desc())
+    bad = [_other_revision(theirs, _revision() if revision is None else revision), moved, later]
+    return out.join(reduce(DataFrame.unionByName, bad), "id", "left_anti").orderBy(F.col("completed_at").desc(), F.col("id").desc())
 
 
 def resumable_runs(runs: DataFrame, run_dumps: DataFrame, chunks: DataFrame, checkpoints: DataFrame, manifest: str, n_dumps: int, chunk_size: int, revision: Column | None = None) -> DataFrame:
     """Failed runs of the manifest that can be taken up: not forced, same revisions, dumps and chunk size, a ledger that
     adds up and fits the windows, and no other import applied since. The newest comes first."""
+    out = runs.filter((F.col("manifest_sha256") == manifest) & (F.col("status") == "failed") & ~F.col("force_requested"))
+    every, run_dumps, chunks = run_dumps, _of(run_dumps, out), _of(chunks, out)
     done = chunks.groupBy(F.col("import_run_id").alias("k_run"), F.col("entity_type").alias("k_entity")).agg(F.sum("item_count").alias("done"))
     sums = run_dumps.join(done, (F.col("import_run_id") == F.col("k_run")) & (F.col("entity_type") == F.col("k_entity")), "left")
     wrong_sum = sums.filter(F.col("processed_items") != F.coalesce("done", F.lit(0))).select(F.col("import_run_id").alias("id"))
     wrong_size = run_dumps.filter(~F.col("chunk_size").eqNullSafe(F.lit(chunk_size))).select(F.col("import_run_id").alias("id"))
     windows = chunks.join(run_dumps.select("import_run_id", "entity_type", "chunk_size"), ["import_run_id", "entity_type"])
     wrong_window = windows.filter("first_item_index <> chunk_index * chunk_size OR item_count > chunk_size").select(F.col("import_run_id").alias("id"))
-    named = run_dumps.join(runs.select(F.col("id").alias("r_id"), F.col("completed_at").alias("r_at")), F.col("import_run_id") == F.col("r_id"))
-    since = named.join(_current(run_dumps, checkpoints), F.col("entity_type") == F.col("c_entity"))
+    named = run_dumps.join(out.select(F.col("id").alias("r_id"), F.col("completed_at").alias("r_at")), F.col("import_run_id") == F.col("r_id"))
+    since = named.join(_current(every, checkpoints), F.col("entity_type") == F.col("c_entity"))
     since = since.filter("(current_dump <> dump_id OR current_revision <> import_contract_revision) AND (applied_at > r_at OR (applied_at = r_at AND c_run > r_id))").select(F.col("import_run_id").alias("id"))
     right_count = run_dumps.groupBy(F.col("import_run_id").alias("id")).count().filter(F.col("count") == n_dumps).select("id")
-    out = runs.filter((F.col("manifest_sha256") == manifest) & (F.col("status") == "failed") & ~F.col("force_requested"))
-    out = out.join(right_count, "id", "left_semi")
-    for bad in (_other_revision(run_dumps, _revision() if revision is None else revision), wrong_size, wrong_sum, wrong_window, since):
-        out = out.join(bad, "id", "left_anti")
-    return out.orderBy(F.col("completed_at").desc(), F.col("id").desc())
+    bad = [_other_revision(run_dumps, _revision() if revision is None else revision), wrong_size, wrong_sum, wrong_window, since]
+    return out.join(right_count, "id", "left_semi").join(reduce(DataFrame.unionByName, bad), "id", "left_anti").orderBy(F.col("completed_at").desc(), F.col("id").desc())
 
 
 def pruned(chunks: DataFrame, runs: DataFrame, run_dumps: DataFrame, checkpoints: DataFrame) -> DataFrame:

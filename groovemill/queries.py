@@ -49,15 +49,41 @@ def made(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
 # --- projections, filters, expansion -------------------------------------------------------------------------------
 
 
-@query("SELECT o_orderkey AS id, o_orderpriority AS title, year(o_orderdate)::SMALLINT AS year, NULLIF(o_orderstatus, 'P') AS status FROM orders WHERE o_orderkey >= 1")
+@query("SELECT c_custkey AS id, c_name AS name, NULLIF(c_mktsegment, 'BUILDING') AS contact_info, CASE WHEN c_acctbal > 0 THEN c_name END AS profile, 'Correct' AS data_quality FROM customer WHERE c_custkey >= 1 AND c_custkey % 7 <> 3")
 def root_projection(spark, d):
-    o = t(spark, d, "orders").filter("o_orderkey >= 1")
-    return o.select(F.col("o_orderkey").alias("id"), text.legacy_trim(F.concat(F.lit(" \t"), "o_orderpriority", F.lit("\n"))).alias("title"), F.year("o_orderdate").cast("smallint").alias("year"), F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"))
+    """Labels from customers: ids that aren't positive numbers go, texts are trimmed, blank ones are null."""
+    made_id = F.when(F.col("c_custkey") % 7 == 3, F.concat(F.lit("-"), F.col("c_custkey"))).otherwise(F.concat(F.lit(" "), F.col("c_custkey")))
+    segment = F.when(F.col("c_mktsegment") == "BUILDING", " \t").otherwise(F.col("c_mktsegment"))
+    dump = t(spark, d, "customer").select(
+        made_id.alias("id"), F.concat(F.lit(" \t"), "c_name", F.lit("\n")).alias("name"), segment.alias("contactinfo"), F.when(F.col("c_acctbal") > 0, F.col("c_name")).alias("profile"), F.lit("Correct ").alias("data_quality"), F.col("c_custkey").alias("ordinal"),
+    )
+    return relations.root_rows(relations.valid_roots(dump, "label"), "label", F.lit(None).cast("timestamp_ntz")).drop("created_at", "last_modified_at")
+
+
+@query("SELECT l_orderkey AS id, l_returnflag AS title, CASE WHEN l_linenumber < 4 THEN year(l_shipdate) END::SMALLINT AS year FROM lineitem WHERE l_orderkey >= 1 QUALIFY l_partkey * 10 + l_linenumber = max(l_partkey * 10 + l_linenumber) OVER (PARTITION BY l_orderkey)")
+def repeated_roots(spark, d):
+    """Masters from line items: of elements that repeat an id the last in the source stays; a year that is none is null."""
+    year = F.when(F.col("l_linenumber") < 4, F.date_format("l_shipdate", " yyyy ")).otherwise("unknown")
+    dump = t(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("_id"), F.col("l_returnflag").alias("title"), year.alias("year"), F.lit(None).cast("string").alias("main_release"), F.lit(None).cast("string").alias("data_quality"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("ordinal"))
+    return relations.root_rows(relations.valid_roots(dump, "master"), "master", F.lit(None).cast("timestamp_ntz")).select("id", "title", "year")
 
 
-@query("SELECT p_partkey, (i - 1)::INT AS place, w[i] AS word FROM (SELECT p_partkey, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part))")
+@query("SELECT p_partkey AS label_id, (i - 1)::INT AS place, w[i] AS url FROM (SELECT p_partkey, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)) WHERE w[i] <> 'red'")
 def explode_relation(spark, d):
-    return t(spark, d, "part").select("p_partkey", F.posexplode(F.filter(F.split("p_name", " "), lambda x: x.isNotNull())).alias("place", "word"))
+    """Urls of labels from the words of part names; blank ones are no rows."""
+    words = F.transform(F.split("p_name", " "), lambda x: F.when(x == "red", " ").otherwise(F.concat(x, F.lit("\n"))))
+    rows = t(spark, d, "part").select(F.col("p_partkey").alias("root_id"), F.struct(words.alias("url")).alias("urls"))
+    return relations.child_rows(rows, relations.BY_TABLE["label_url"])
+
+
+@query("SELECT o_custkey AS master_id, o_orderkey::INT AS place, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS title, NULL::VARCHAR AS description, o_orderstatus AS url FROM orders WHERE o_orderstatus <> 'O'")
+def master_videos(spark, d):
+    """Videos of masters from the orders of customers: a video without a url is no row, one without a title is."""
+    video = F.struct(F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("_src"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority")).alias("title"), F.lit(" ").alias("description"))
+    rows = t(spark, d, "orders").select(F.col("o_custkey").alias("root_id"), F.struct(F.array(video).alias("video")).alias("videos"), "o_orderkey")
+    spec = relations.BY_TABLE["master_video"]
+    # a list of one video for each order, so the order tells the lists apart
+    return relations.child_rows(rows.withColumn("root_id", F.struct("root_id", "o_orderkey")), spec).select("master_id.root_id", F.col("master_id.o_orderkey").cast("int").alias("place"), "title", "description", "url").withColumnRenamed("root_id", "master_id")
 
 
 @query("SELECT p_partkey, NULLIF(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '|'), '') AS words FROM (SELECT p_partkey, list_filter(list_transform(string_split(p_name || ',  ,' || p_type || ', ' || p_name, ','), lambda x: trim(x)), lambda x: x <> '') AS l FROM part)")
@@ -96,9 +122,9 @@ def nullable_fk(spark, d):
     return relations.with_known_master(releases, t(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("id")))
 
 
-@query("SELECT DISTINCT 'lineitem' AS \"table\", l_orderkey AS root FROM lineitem WHERE l_orderkey % 3 = 0 UNION ALL SELECT DISTINCT 'orders', o_orderkey FROM orders WHERE o_orderkey % 3 = 0")
+@query("SELECT DISTINCT 'lineitem' AS \"table\", l_orderkey AS root FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey + 5 FROM orders) UNION ALL SELECT DISTINCT 'orders', o_orderkey FROM orders WHERE o_orderkey IN (SELECT o_orderkey + 5 FROM orders)")
 def existing_roots_union(spark, d):
-    roots = t(spark, d, "orders").filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("root"))
+    roots = t(spark, d, "orders").select((F.col("o_orderkey") + 5).alias("root"))
     return merge.existing_roots({"lineitem": (t(spark, d, "lineitem"), "l_orderkey"), "orders": (t(spark, d, "orders"), "o_orderkey")}, roots)
 
 
@@ -164,22 +190,31 @@ _JAVA = "CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END"
 _FOLD = "list_reduce(list_prepend(0::BIGINT, list_transform(list_filter(string_split({0}, ''), lambda c: c <> ''), lambda c: unicode(c)::BIGINT)), lambda a, b: (a * 31 + b) % 4294967296)"
 
 
-@query(f"WITH n AS (SELECT DISTINCT p_name || ' ' || p_brand AS name FROM part), b AS (SELECT name, {_JAVA.replace('h', '(' + _FOLD.format('name') + ')')} AS hash FROM n) SELECT name, (((hash % 1009) + 1009) % 1009)::INT AS bucket, row_number() OVER (PARTITION BY ((hash % 1009) + 1009) % 1009 ORDER BY sha256(name))::INT AS rank FROM b".replace("(({0}", "(("))
-def hash_collisions(spark, d):
-    names = t(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("name")).distinct()
-    rows = names.withColumn("bucket", F.pmod(hashing.java_hash(F.col("name")), F.lit(1009)))
-    return canonical.ranked_within(rows, F.col("bucket"), F.sha2("name", 256))
+_NAMES = "SELECT DISTINCT p_size, p_name, p_brand FROM part"
+_TRACK = "encode('catalog/release-relation-{}/v1') || unhex('00') || encode('track') || unhex('00')"
+_FRAME = "CASE WHEN NULLIF({0}, '') IS NULL THEN unhex('00') ELSE unhex('01') || unhex(printf('%08x', octet_length(encode({0})))) || encode({0}) END"
+_ASKED = f"('0x' || substr(sha256({_TRACK.format('slot')} || unhex(digest) || unhex('00000000')), 1, 8))::BIGINT"
 
 
-@query(None)
+@query(
+    f"WITH n AS ({_NAMES}), h AS (SELECT *, (({_FOLD.format('p_name')} % 13) + 13) % 13 AS h, sha256({_TRACK.format('identity')} || {_FRAME.format('p_name')} || {_FRAME.format('p_brand')}) AS digest FROM n), "
+    f"r AS (SELECT *, row_number() OVER (PARTITION BY p_size, h ORDER BY digest) AS k, {_ASKED} AS n FROM h) SELECT p_size, p_name, p_brand, (CASE WHEN k = 1 THEN h WHEN n >= 2147483648 THEN n - 4294967296 ELSE n END)::INT AS hash FROM r"
+)
 def slot_allocation(spark, d):
-    """Names whose hashes are forced to collide get slots of their own; held against a brute-force version in the tests."""
+    """Names whose hashes are forced to collide: the smallest digest of a hash keeps it, others get the slot that they ask
+    for first, which is free here."""
     p = t(spark, d, "part").select("p_size", "p_name", "p_brand").distinct()
     spec = relations.Relation("t", "release", "p_size", lambda: F.col("x"), lambda x, trim: {}, payload=("p_name", "p_brand"), digest="track")
-    rows = p.select("p_size", "p_name", "p_brand", F.pmod(hashing.java_hash(F.col("p_name")), F.lit(13)).alias("hash"), hashing.digest("track", F.col("p_name"), F.col("p_brand")).alias("identity_sha256"))
+    wrapped = F.pmod(F.pmod(hashing.java_hash(F.col("p_name")).cast("long"), F.lit(1 << 32)), F.lit(13)).cast("int")
+    rows = p.select("p_size", "p_name", "p_brand", wrapped.alias("hash"), hashing.digest("track", F.col("p_name"), F.col("p_brand")).alias("identity_sha256"))
     return canonical.with_slots(rows, spec).select("p_size", "p_name", "p_brand", "hash")
 
 
+@query(f"SELECT p_partkey, ({_JAVA.replace('h', '(' + _FOLD.format('s') + ')')})::INT AS hash FROM (SELECT p_partkey, p_name || chr(0) || chr(1) || chr(0) || p_size::VARCHAR || chr(0) AS s FROM part)")
+def format_hashes(spark, d):
+    return t(spark, d, "part").select("p_partkey", hashing.format_hash(F.col("p_name"), F.lit(None).cast("string"), F.col("p_size").cast("string"), F.lit("")).alias("hash"))
+
+
 # --- aggregates, windows, catalog ----------------------------------------------------------------------------------
 
 
@@ -208,11 +243,9 @@ _DUMPS = "SELECT event_id AS id, event_type AS entity_type, CAST(ts AS DATE) AS
 _D = _DUMPS.replace("{events}", "events").replace("CAST(value * 100 AS BIGINT)", "CAST(trunc(value * 100) AS BIGINT)")
 
 
-@query(f"WITH d AS ({_D}) SELECT id, entity_type, dump_date FROM d QUALIFY row_number() OVER (PARTITION BY entity_type ORDER BY dump_date DESC, etag DESC, size_bytes DESC, id DESC) = 1", "dump_date")
+@query(f"WITH d AS ({_D}) SELECT id, entity_type, dump_date FROM d QUALIFY row_number() OVER (PARTITION BY entity_type ORDER BY dump_date DESC, etag DESC, size_bytes DESC) = 1", "dump_date")
 def latest_per_key(spark, d):
-    dumps = made(spark, d, _DUMPS, "events")
-    best = dumps.groupBy("entity_type").agg(F.max_by(F.struct("id", "dump_date"), F.struct(*catalog.ORDER, "id")).alias("b"))
-    return best.select("b.id", "entity_type", "b.dump_date")
+    return catalog.latest_per_type(made(spark, d, _DUMPS, "events")).select("id", "entity_type", "dump_date")
 
 
 @query(f"WITH d AS ({_D}) SELECT id, entity_type, dump_date FROM d WHERE entity_type = 'click' AND dump_date >= DATE '2024-01-10' AND dump_date < DATE '2024-01-20' ORDER BY dump_date DESC, id DESC LIMIT 1", "dump_date")
@@ -225,21 +258,26 @@ def catalog_range(spark, d):
     return catalog.in_range(made(spark, d, _DUMPS, "events"), *dates.month_window("2024-01"), "view").select("id", "entity_type", "dump_date")
 
 
-@query(f"WITH d AS ({_D}), r AS (SELECT id, entity_type, dump_date FROM d WHERE entity_type IN ('click', 'view') AND id % 5 = 0) SELECT r.id, r.entity_type, r.dump_date, e.dump_date AS asof_dump_date, e.id AS asof_id FROM r LEFT JOIN LATERAL (SELECT dump_date, id FROM d WHERE d.entity_type = r.entity_type AND d.dump_date < r.dump_date ORDER BY dump_date DESC, id DESC LIMIT 1) e ON true".replace("r AS (SELECT id, entity_type, dump_date FROM d WHERE entity_type IN ('click', 'view') AND id % 5 = 0)", "r AS (SELECT id, entity_type, dump_date FROM d WHERE size_bytes > 5000)"), "dump_date", "asof_dump_date")
+@query(f"WITH d AS ({_D}), n AS (SELECT entity_type, dump_date, max(id) AS id FROM d GROUP BY ALL) SELECT d.id, d.entity_type, d.dump_date, n.dump_date AS asof_dump_date, n.id AS asof_id FROM d ASOF LEFT JOIN n ON d.entity_type = n.entity_type AND d.dump_date > n.dump_date", "dump_date", "asof_dump_date")
 def asof_dump(spark, d):
     dumps = made(spark, d, _DUMPS, "events")
-    left = dumps.filter("size_bytes > 5000").select("id", "entity_type", "dump_date")
+    left = dumps.select("id", "entity_type", "dump_date")
     return admission.asof(left, dumps, "entity_type", "dump_date", "dump_date", "id", ["dump_date", "id"])
 
 
-@query("WITH x AS (SELECT p_brand AS entity_type, CAST(o_orderdate AS DATE) AS dump_date, p_type AS dependency FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey) SELECT dependency, array_to_string(list_sort(list(DISTINCT entity_type)), ',') AS consumers, CAST(date_trunc('month', max(dump_date)) + INTERVAL 1 MONTH AS DATE) AS horizon FROM x GROUP BY dependency", "horizon")
+@query("WITH x AS (SELECT p_brand AS entity_type, CAST(o_orderdate AS DATE) AS dump_date, p_type AS dependency FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey) SELECT dependency, array_to_string(list_sort(list(DISTINCT entity_type)), ',') AS consumers, CAST(date_trunc('month', max(dump_date)) + INTERVAL 1 MONTH AS DATE) AS horizon FROM x WHERE dependency <> 'ECONOMY' GROUP BY dependency", "horizon")
 def dependency_requirements(spark, d):
+    """Brands depend on the kinds of their parts; ECONOMY is selected itself, so nothing has to be there for it."""
     line = t(spark, d, "lineitem").select("l_partkey", "l_orderkey")
     rows = line.join(t(spark, d, "part").select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey")).join(t(spark, d, "orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-    # one row per brand and kind of part, with the latest date, before anything else
-    pairs = rows.groupBy(F.col("p_brand").alias("entity_type"), F.col("p_type").alias("dependency")).agg(F.max(F.col("o_orderdate").cast("date")).alias("dump_date"))
-    out = pairs.withColumn("horizon", dates.horizon(F.col("dump_date"))).groupBy("dependency")
-    return out.agg(F.array_join(F.array_sort(F.collect_set("entity_type")), ",").alias("consumers"), F.max("horizon").alias("horizon"))
+    day = F.max(F.col("o_orderdate").cast("date")).alias("dump_date")
+    pair = F.concat_ws("/", "p_brand", "p_type")
+    # an entity is a brand and a kind of part, with the latest date, so that each has one dump and one dependency
+    dumps = rows.groupBy(pair.alias("entity_type")).agg(day).unionByName(spark.sql("SELECT 'ECONOMY' AS entity_type, DATE '1990-01-01' AS dump_date"))
+    depends = t(spark, d, "part").select(pair.alias("entity_type"), F.col("p_type").alias("dependency")).distinct()
+    out = admission.requirement_rows(dumps, depends)
+    brands = F.array_sort(F.array_distinct(F.transform(F.split("consumers", ","), lambda x: F.element_at(F.split(x, "/"), 1))))
+    return out.select("dependency", F.array_join(brands, ",").alias("consumers"), "horizon")
 
 
 # --- chunks and runs --------------------------------------------------------------------------------------------------
@@ -372,10 +410,6 @@ def java_hash(spark, d):
     return t(spark, d, "part").select("p_partkey", hashing.joined_hash(F.col("p_name"), F.lit(" "), F.col("p_brand"), F.lit("Яд")).alias("hash"))
 
 
-_FRAME = "CASE WHEN NULLIF({0}, '') IS NULL THEN unhex('00') ELSE unhex('01') || unhex(printf('%08x', octet_length(encode({0})))) || encode({0}) END"
-_TRACK = "encode('catalog/release-relation-{}/v1') || unhex('00') || encode('track') || unhex('00')"
-
-
 @query(f"WITH x AS (SELECT p_partkey, sha256({_TRACK.format('identity')} || {_FRAME.format('p_name')} || {_FRAME.format('p_brand')} || unhex('00')) AS digest FROM part) SELECT p_partkey, digest, (CASE WHEN n >= 2147483648 THEN n - 4294967296 ELSE n END)::INT AS slot FROM (SELECT *, ('0x' || substr(sha256({_TRACK.format('slot')} || unhex(digest) || unhex('00000000')), 1, 8))::BIGINT AS n FROM x)")
 def sha256_identity(spark, d):
     rows = t(spark, d, "part").select("p_partkey", hashing.digest("track", F.concat(F.lit(" "), "p_name"), F.col("p_brand"), F.lit(" ")).alias("raw"))
@@ -440,11 +474,24 @@ def checksum_lines(spark, d):
     return catalog_index.pinned(dumps, catalog_index.manifest(lines)).select("p_partkey", text.file_name(F.col("uri")).alias("file"), "checksum_sha256")
 
 
+@query("SELECT DISTINCT year(o_orderdate)::VARCHAR AS year, 'https://c.example/?prefix=data%2F' || year(o_orderdate) || '%2F' AS url FROM orders")
+def year_listings(spark, d):
+    """The years that pages written from orders link to."""
+    pages = t(spark, d, "orders").select(F.format_string('<a href="?prefix=data%%2F%d%%2F">x</a> <a HREF=\'?prefix=data%%2F%d%%2F\'> <a href="?prefix=data%%2Fx%%2F">', F.year("o_orderdate"), F.year("o_orderdate")).alias("html"))
+    return catalog_index.year_urls(pages, base="https://c.example/")
+
+
 @query("SELECT page_id, url_encode(url) AS encoded, url AS decoded FROM pages")
 def url_codec(spark, d):
     return t(spark, d, "pages").select("page_id", F.url_encode("url").alias("encoded"), F.url_decode(F.url_encode("url")).alias("decoded"))
 
 
+@query("SELECT o_orderkey AS id, o_orderdate - INTERVAL 2 HOUR AS listed_at FROM orders", "listed_at")
+def offset_times(spark, d):
+    """Offset timestamps as local times in UTC."""
+    return t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), dates.utc_timestamp(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))).alias("listed_at"))
+
+
 @query("SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'artist' WHEN 1 THEN 'label' WHEN 2 THEN 'master' WHEN 3 THEN 'release' WHEN 4 THEN 'artist' END AS entity FROM orders")
 def classify_regex(spark, d):
     names = F.array(*map(F.lit, ("data/ARTISTS.xml.gz", "x_labels.xml", "2008/masters", "Releases", "labels_of_artists", "images")))

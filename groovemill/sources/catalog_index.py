@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Callable
+from urllib.parse import quote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import FileProblem
+from ..errors import FileProblem, InvalidArgument
 from ..functions.dates import path_date, utc_timestamp
-from ..functions.text import classify, display_size, file_name
+from ..functions.text import classify, display_size, file_name, let
 
 #: The shapes of links, entries and manifest lines.
 YEAR_LINK = r"""(?i)href=["']\?prefix=data%2F(\d{4})%2F["']"""
@@ -35,6 +37,32 @@ def year_urls(pages: DataFrame, html: str = "html", base: str = "") -> DataFrame
     return rows.select("year", F.concat(F.lit(f"{base}?prefix=data%2F"), "year", F.lit("%2F")).alias("url")).orderBy(F.col("year").desc())
 
 
+def catalog_base(base: str) -> str:
+    """The catalog's address, closed by a slash; InvalidArgument unless it is one of http or https with a host."""
+    found = urlsplit(base)
+    if found.scheme.lower() not in ("http", "https") or not found.hostname:
+        raise InvalidArgument(f"not an address of http or https: {base}")
+    return base if base.endswith("/") else f"{base}/"
+
+
+def year_url(base: str, year: int) -> str:
+    """The listing of a year."""
+    return f"{catalog_base(base)}?prefix={quote(f'data/{year}/', safe='')}"
+
+
+def dump_url(base: str, uri: str) -> str:
+    """The download of a dump, or of another file, by its path."""
+    return f"{catalog_base(base)}?download={quote(uri, safe='')}"
+
+
+def manifest_url(base: str, uri: str) -> str:
+    """The download of the checksums that belong to a dump's path, which differ from it by what follows the date."""
+    path = re.fullmatch(r"(.*_[0-9]{8}_)[^/]*", uri)
+    if not path:
+        raise InvalidArgument(f"no date in {uri}")
+    return dump_url(base, f"{path[1]}CHECKSUM.txt")
+
+
 def checksums_of(html: Column) -> Column:
     """(dump_date, checksum_url) of all checksum links of a page; links whose path and name differ are dropped."""
     m = F.transform(_matches(html, CHECKSUM_LINK, href=1, path=2, name=3), lambda x: F.struct(x["pos"].alias("pos"), x["href"].alias("checksum_url"), F.url_decode(x["path"]).alias("path"), x["name"].alias("name"), path_date(x["name"]).alias("dump_date")))
@@ -45,15 +73,19 @@ def entries_of(html: Column) -> Column:
     """The dumps that a page lists: uri, entity_type, size_bytes, dump_date, url and, by date, the page's last checksum_url.
 
     Entries are dropped whose path doesn't end with the shown name, isn't an .xml.gz path or names no entity or date."""
-    checks = checksums_of(html)
 
-    def entry(x: Column) -> Column:
-        uri = F.url_decode(x["path"])
-        day = path_date(uri)
+    def entry(x: Column, checks: Column) -> Column:
+        uri, day = x["uri"], x["day"]
         last = F.try_element_at(F.filter(checks, lambda c: c["dump_date"] == day), F.lit(-1))
         return F.struct(uri.alias("uri"), classify(uri).alias("entity_type"), display_size(x["size"], x["unit"]).alias("size_bytes"), day.alias("dump_date"), x["href"].alias("url"), last["checksum_url"].alias("checksum_url"), x["name"].alias("name"))
 
-    rows = F.transform(_matches(html, ENTRY, size=1, unit=2, href=3, path=4, name=5), entry)
+    def dated(x: Column) -> Column:
+        uri = F.url_decode(x["path"])
+        return F.struct(uri.alias("uri"), path_date(uri).alias("day"), *[x[k].alias(k) for k in ("size", "unit", "href", "name")])
+
+    found = F.transform(_matches(html, ENTRY, size=1, unit=2, href=3, path=4, name=5), dated)
+    # the page's checksums are found once, not once for each entry
+    rows = let(checksums_of(html), lambda checks: F.transform(found, lambda x: entry(x, checks)))
     return F.filter(rows, lambda x: F.endswith(x["uri"], F.concat(F.lit("/"), x["name"])) & x["uri"].rlike(XML_GZ) & x["entity_type"].isNotNull() & x["size_bytes"].isNotNull() & x["dump_date"].isNotNull())
 
 

@@ -115,3 +115,46 @@ def test_calendar(spark):
     for f, bad in ((text.positive_int, "0"), (text.positive_int, "-1"), (text.positive_int, "1 "), (text.positive_int, "2147483648"), (text.schema_name, "A"), (text.schema_name, "1a"), (text.schema_name, "a" * 64), (text.schema_name, "")):
         with pytest.raises(ValueError):
             f(bad)
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+
+    long = "x" * 1_000_000
+    values(spark, ["ab"], hashing.java_hash(F.col("a")))
+    began = time.time()
+    assert values(spark, [long], hashing.java_hash(F.col("a"))) == [java(long)]
+    assert time.time() - began < 20
+
+
+def test_catalog_urls():
+    from groovemill.errors import InvalidArgument
+    from groovemill.sources import catalog_index as c
+
+    assert c.year_url("https://c.example", 2026) == "https://c.example/?prefix=data%2F2026%2F"
+    assert c.dump_url("https://c.example/", "data/2026/x_20260701_artists.xml.gz") == "https://c.example/?download=data%2F2026%2Fx_20260701_artists.xml.gz"
+    assert c.manifest_url("https://c.example/", "data/2026/x_20260701_artists.xml.gz") == "https://c.example/?download=data%2F2026%2Fx_20260701_CHECKSUM.txt"
+    for bad in ("ftp://c.example", "c.example", "https://"):
+        with pytest.raises(InvalidArgument):
+            c.year_url(bad, 2026)
+    with pytest.raises(InvalidArgument):
+        c.manifest_url("https://c.example/", "data/artists.xml.gz")
+
+
+def test_entries_of_many_links_take_linear_time(spark):
+    import time
+
+    from groovemill.sources.catalog_index import entries_of
+
+    def page(n):
+        days = [(dt.date(2000, 1, 1) + dt.timedelta(i)).strftime("%Y%m%d") for i in range(n)]
+        rows = [f'2026-07-01 10:00:00 1 KB <a href="u?download=data%2Fx_{d}_masters.xml.gz">x_{d}_masters.xml.gz</a>' for d in days]
+        return "\n".join(rows + [f'<a href="u?download=data%2Fx_{d}_CHECKSUM.txt">x_{d}_CHECKSUM.txt</a>' for d in days])
+
+    took = []
+    for n in (10, 200, 400):
+        began = time.time()
+        got = values(spark, [page(n)], entries_of(F.col("a")))
+        assert len(got[0]) == n and all(e.checksum_url == f"u?download=data%2Fx_{e.dump_date:%Y%m%d}_CHECKSUM.txt" for e in got[0])
+        took.append(time.time() - began)
+    assert took[2] < 3

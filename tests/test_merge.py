@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -67,16 +69,30 @@ def test_slots_are_distinct_and_keep_the_smallest(pairs):
         assert got[pairs.index((h, min(d for g, d in pairs if g == h)))] == h
 
 
-def test_slot_query_agrees_with_allocating_each_scope(spark):
-    from groovemill.queries import slot_allocation
+def plain_slot(digest, attempt):
+    head = b"catalog/release-relation-slot/v1\0track\0"
+    return int.from_bytes(hashlib.sha256(head + digest + attempt.to_bytes(4, "big")).digest()[:4], "big", signed=True)
+
 
-    rows_ = slot_allocation(spark, "/root/testdata/sf0.001").collect()
-    by = {}
-    parts = spark.read.parquet("/root/testdata/sf0.001/part.parquet").select("p_size", "p_name", "p_brand").distinct()
-    for r in parts.select("p_size", "p_name", "p_brand", F.pmod(hashing.java_hash(F.col("p_name")), F.lit(13)).alias("h"), hashing.digest("track", F.col("p_name"), F.col("p_brand")).alias("d")).collect():
-        by.setdefault(r.p_size, []).append(r)
+def test_slots_equal_a_plain_allocator(spark):
+    """Scopes with and without collisions, null scopes among them, replayed row by row."""
+    rows = [(i % 7 or None, f"t{i}", i % 5 if i % 7 < 4 else i, hashlib.sha256(bytes([i])).digest(), None if i % 2 else i) for i in range(100)]
+    # the first slot that this digest asks for is another row's legacy hash, which is reserved
+    taken = plain_slot(hashlib.sha256(b"z").digest(), 0)
+    rows += [(9, "z", 1, hashlib.sha256(b"z").digest(), 1), (9, "y", 1, bytes(32), 1), (9, "w", taken, b"\x01" * 32, 1)]
+    spec = relations.Relation("t", "release", "root", lambda: F.col("x"), lambda x, trim: {}, payload=("title", "q"), digest="track")
+    got = canonical.with_slots(spark.createDataFrame(rows, "root int, title string, hash int, identity_sha256 binary, q int"), spec).collect()
     want = set()
-    for size, own in by.items():
-        slots = canonical.allocate([(r.h, bytes(r.d)) for r in own], lambda d, n: hashing.slot_of("track", d, n))
-        want |= {(size, r.p_name, r.p_brand, s) for r, s in zip(own, slots, strict=True)}
-    assert {tuple(r) for r in rows_} == want
+    for root in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == root), key=lambda r: (r[2], r[3]))
+        used, reserved, before = set(), {r[2] for r in own}, None
+        for r in own:
+            slot, attempt = r[2], 0
+            while before == r[2] and (attempt == 0 or slot in used | reserved):
+                slot, attempt = plain_slot(r[3], attempt), attempt + 1
+            before = r[2]
+            used.add(slot)
+            want.add((root, r[1], slot, r[3], r[4]))
+    assert {(r.root, r.title, r.hash, bytes(r.identity_sha256), r.q) for r in got} == want
+    z = next(r.hash for r in got if r.title == "z")
+    assert z == plain_slot(hashlib.sha256(b"z").digest(), 1)
