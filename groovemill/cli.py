@@ -9,7 +9,7 @@ import os
 import sys
 from collections.abc import Mapping, Sequence
 
-from .errors import InvalidArgument, MissingArgument
+from .errors import EngineError, InvalidArgument, MissingArgument
 from .functions.dates import month_window
 from .functions.text import ENTITIES, positive_int, schema_name
 
@@ -95,7 +95,16 @@ def _month(text: str) -> str:
 
 
 def main(args: Sequence[str] | None = None) -> int:
-    """Imports `<dumps>/<anything>_YYYYMMDD_<entity>s.xml[.gz]`, the latest of each entity or that of --month."""
+    """Imports `<dumps>/<anything>_YYYYMMDD_<entity>s.xml[.gz]`, the latest of each entity or that of --month. Returns 0, or
+    2 after an error of the engine, which is logged."""
+    try:
+        return run(args)
+    except EngineError as e:
+        logging.error("%s: %s", type(e).__name__, e)
+        return 2
+
+
+def run(args: Sequence[str] | None = None) -> int:
     from .plans.importer import Importer, Plan
     from .plans.store import Store
     from .session import session

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing
-from .relations import Relation
+from .relations import SHAPES, Relation
 
 
 def collapse(rows: DataFrame, identity: Sequence[str], payload: Sequence[str], order: Sequence[str], strict: bool = True) -> DataFrame:
@@ -79,7 +79,9 @@ def with_slots(rows: DataFrame, spec: Relation, owner: str = hashing.OWNER) -> D
 
 
 def canonical(rows: DataFrame, spec: Relation, owner: str = hashing.OWNER) -> DataFrame:
-    """A relation's rows with identities, each once and with its slot."""
+    """A relation's rows with identities, each once and with its slot. Other shapes of identities than SHAPES are refused."""
+    if spec.shape not in SHAPES:
+        raise ValueError(f"{spec.table} has an identity of {', '.join(spec.shape)}")
     rest = [c for c in (*spec.payload, *(["hash"] if spec.digest else [])) if c in rows.columns]
     once = collapse(rows, spec.identity, rest, ["place", *rest])
     return with_slots(once, spec, owner).select(*spec.columns)

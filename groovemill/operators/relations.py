@@ -21,6 +21,10 @@ def number(c: Column) -> Column:
     return F.btrim(c).try_cast("int")
 
 
+#: What the columns of a relation's identity may be.
+SHAPES = (("int", "int"), ("int", "binary"), ("int", "text"), ("int", "int", "text"), ("int", "int", "binary"))
+
+
 @dataclass(frozen=True)
 class Relation:
     """One child table. `items` is the array in the dump, `fields` build a row from an element x with a trim; `keys`
@@ -45,6 +49,11 @@ class Relation:
         """Columns that make two rows the same one."""
         return [self.root, *self.keys, *(["identity_sha256"] if self.digest else [])]
 
+    @property
+    def shape(self) -> tuple[str, ...]:
+        """The types of the identity's columns."""
+        return tuple("binary" if c == "identity_sha256" else "int" if c.endswith("_id") else "text" for c in self.identity)
+
     @property
     def stale_key(self) -> list[str]:
         """Columns that must all be equal, nulls included, for a stored row to stay."""

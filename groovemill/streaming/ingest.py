@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import converge, merge_upsert
+from ..plans.files import Files
 
 
 def files(spark: SparkSession, folder: str, schema: str, per_trigger: int = 16) -> DataFrame:
@@ -20,22 +20,21 @@ def files(spark: SparkSession, folder: str, schema: str, per_trigger: int = 16)
 
 
 class BatchTarget:
-    """A Parquet table that micro-batches are merged into: each batch writes a new version and then renames the pointer
-    that also holds the batch's number, so a batch that is delivered again changes nothing."""
+    """A Parquet table that micro-batches are merged into: each batch writes a new version and then creates the state of
+    its number, which can be there once, so a batch that is delivered again changes nothing."""
 
     def __init__(self, spark: SparkSession, folder: str, schema: str):
-        self.spark, self.folder, self.schema = spark, Path(folder), schema
-        self.folder.mkdir(parents=True, exist_ok=True)
+        self.spark, self.files, self.schema = spark, Files(spark, folder), schema
 
     def state(self) -> dict:
-        p = self.folder / "CURRENT"
-        return json.loads(p.read_text()) if p.exists() else {"batch": -1, "version": None, "items": 0}
+        last = max((n for n in self.files.names() if n.startswith("_batch-")), default=None)
+        return json.loads(self.files.read(last)) if last else {"batch": -1, "version": None, "items": 0}
 
     def read(self) -> DataFrame:
         version = self.state()["version"]
         if version is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(str(self.folder / version))
+        return self.spark.read.schema(self.schema).parquet(self.files.path(version))
 
     def apply(self, batch: int, rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> bool:
         """Merges the batch unless it has been; returns whether it did."""
@@ -43,11 +42,9 @@ class BatchTarget:
         if batch <= now["batch"]:
             return False
         version = f"v={batch}-{os.urandom(4).hex()}"
-        merge(self.read(), rows).write.parquet(str(self.folder / version))
-        swap = self.folder / f"CURRENT.{os.urandom(4).hex()}"
-        swap.write_text(json.dumps({"batch": batch, "version": version, "items": now["items"] + rows.count()}))
-        os.replace(swap, self.folder / "CURRENT")
-        return True
+        merge(self.read(), rows).write.parquet(self.files.path(version))
+        state = {"batch": batch, "version": version, "items": now["items"] + rows.count()}
+        return self.files.create(f"_batch-{batch:012d}.json", json.dumps(state))
 
 
 def upsert_stream(stream: DataFrame, target: BatchTarget, key: list[str], order: list[str], checkpoint: str, touched: str | None = None) -> StreamingQuery:

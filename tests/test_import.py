@@ -49,6 +49,7 @@ def world(spark, tmp_path_factory):
 
 def test_first_import(world):
     _, store, _, _, first = world
+    assert first["processed"] == first["items"]
     assert first["status"] == "success" and first["items"] == {"artist": 6, "label": 2, "master": 2, "release": 3}
     assert table(store, "artist", "id", "name", "real_name") == [(1, "One", None), (2, "Two", None), (3, "Three", None)]
     counts = {r.table: store.read(r.table).count() for r in RELATIONS}
@@ -109,10 +110,8 @@ def test_dependencies_and_failures(spark, tmp_path):
         engine.run(plan(bad))
     assert table(store, "run", "status") == [("failed",)] and table(store, "artist") == []
     assert table(store, "entity_state", "status") == [("failed",)]
-    (tmp_path / "s" / "artist.lock").touch()
-    with pytest.raises(ImportRefused, match="locked"):
+    with store.locked("artist"), pytest.raises(ImportRefused, match="locked"):
         engine.run(plan(bad))
-    (tmp_path / "s" / "artist.lock").unlink()
     good = D.write(tmp_path, artist=D.ARTISTS)
     assert engine.run(plan(good))["status"] == "success"
     assert engine.run(plan(master))["status"] == "success"
@@ -145,9 +144,10 @@ def test_scan_ordinals_and_chunks(spark, tmp_path):
     assert [tuple(r) for r in source_chunks(dense_ordinals(many), 30).orderBy("chunk_index").collect()] == [(0, 0, 30), (1, 30, 30), (2, 60, 30), (3, 90, 10)]
     staged = stage_dump(spark, paths["artist"], "artist", str(tmp_path / "st"))
     done = source_chunks(staged, 2).filter("chunk_index = 0")
-    assert resume_rows(staged, done, 2).select(chunk_index(F.col("ordinal"), 2)).distinct().count() == 2
+    assert resume_rows(staged, staged, source_chunks(staged, 2).limit(0), 2).count() == 6
+    assert resume_rows(staged, staged, done, 2).select(chunk_index(F.col("ordinal"), 2)).distinct().count() == 2
     with pytest.raises(ImportRefused):
-        resume_rows(staged, done.withColumn("item_count", F.lit(1)), 2)
+        resume_rows(staged, staged, done.withColumn("item_count", F.lit(1)), 2)
 
 
 def test_repeated_roots_and_ids(spark, tmp_path):
@@ -157,3 +157,96 @@ def test_repeated_roots_and_ids(spark, tmp_path):
     rows = read_dump(spark, D.write(tmp_path, artist=text)["artist"], "artist")
     assert sorted((r.root_id, r.name) for r in valid_roots(rows, "artist").collect()) == [(1, "One"), (2, "Two again"), (3, "Three")]
     assert sorted(r.id for r in valid_ids(rows, "artist").collect()) == [1, 2, 3]
+
+
+KILLED = """
+import os, signal, sys
+sys.path[:0] = {path!r}
+from tests.test_import import *
+from groovemill.session import session
+store = Store(session(spark__ui__enabled="false", spark__sql__shuffle__partitions="4", spark__master="local[4]"), {store!r})
+commits, commit = [], store.commit
+def counted(frames, *more):
+    out = commit(frames, *more)
+    commits.append(frames)
+    if sum("run_chunk" in f and "run" not in f for f in commits) == {after}:
+        os.kill(os.getpid(), signal.SIGKILL)
+    return out
+store.commit = counted
+Importer(store.spark, store, {staging!r}, Clock()).run(plan({paths!r}, commit_chunks=1))
+"""
+
+
+def test_killed_run_is_taken_up(spark, tmp_path):
+    """A child process is killed after artists were finished and the labels' chunk was recorded but not merged: its locks
+    are taken over, its run is marked as failed, and a new one does only the rest."""
+    import signal
+    import subprocess
+
+    paths = D.write(tmp_path, artist=D.ARTISTS, label=D.LABELS.replace("</labels>", '<label><id>3</id><name>L3</name></label></labels>'))
+    store = Store(spark, str(tmp_path / "store"))
+    code = KILLED.format(path=[p for p in sys.path if p], store=str(tmp_path / "store"), staging=str(tmp_path / "st"), paths=paths, after=4)
+    child = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=900)
+    assert child.returncode == -signal.SIGKILL, child.stderr[-2000:]
+    assert (tmp_path / "store" / "label.lock").exists() and table(store, "run", "status") == [("running",)]
+    assert table(store, "label") == [] and len(table(store, "artist")) == 3 and list(store.manifest().pending) == ["1/label"]
+    out = Importer(spark, store, str(tmp_path / "st"), Clock()).run(plan(paths, commit_chunks=1))
+    assert out["status"] == "success" and out["resumed_from"] == 1
+    assert out["items"] == {"artist": 6, "label": 3} and out["processed"] == {"artist": 0, "label": 1}
+    assert table(store, "run", "id", "status") == [(1, "failed"), (2, "success")]
+    assert table(store, "label", "id", "name") == [(1, "L1"), (2, "L2"), (3, "L3")] and table(store, "label_sub_label") != []
+    assert len(table(store, "label_url")) == 2 and len(table(store, "artist_url")) == 1 and len(table(store, "artist")) == 3
+    assert len({t for _, t in table(store, "label", "id", "last_modified_at")}) == 1
+    assert store.manifest().pending == {} and store.vacuum() and len(table(store, "label")) == 3
+
+
+def test_locks_are_leases(spark, tmp_path, monkeypatch):
+    import json
+    import time
+
+    from groovemill.plans import store as s
+
+    store = Store(spark, str(tmp_path / "s"))
+    with store.locked("artist", "label"):
+        with pytest.raises(ImportRefused), store.locked("label"):
+            pass
+        held = json.loads(store.files.read("label.lock"))
+        store.files.replace("label.lock", json.dumps(held | {"until": time.time() - 1}))
+        with store.locked("label"):
+            assert json.loads(store.files.read("label.lock"))["owner"] != held["owner"]
+            with pytest.raises(ImportRefused), store.locked("label"):
+                pass
+    store.files.create("artist.lock", json.dumps(held | {"host": "elsewhere", "pid": 1}))
+    with pytest.raises(ImportRefused), store.locked("artist"):
+        pass
+    store.files.delete("artist.lock")
+    monkeypatch.setattr(s, "LEASE_SECONDS", 0.6)
+    with store.locked("artist"):
+        time.sleep(1.5)
+        with pytest.raises(ImportRefused), store.locked("artist"):
+            pass
+    assert not [n for n in store.files.names() if n.endswith(".lock")]
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_files(spark, tmp_path, local):
+    from groovemill.plans.files import Files
+
+    f = Files(spark, str(tmp_path / "f"), local)
+    assert f.read("a") is None and list(f.names()) == [] and list(f.names("none")) == []
+    assert f.create("a", "one é") and not f.create("a", "two") and f.read("a") == "one é"
+    f.replace("a", "three")
+    assert f.read("a") == "three" and f.create("b", "") and not f.move("a", "b") and not f.move("c", "d") and f.move("a", "c")
+    assert sorted(f.names()) == ["b", "c"]
+    f.delete("b")
+    f.delete("b")
+    assert list(f.names()) == ["c"]
+
+
+def test_other_identity_shapes_are_refused(spark):
+    from groovemill.operators import canonical, relations
+
+    spec = relations.Relation("t", "label", "label_id", lambda: F.col("x"), lambda x, trim: {}, keys=("a_id", "b_id"))
+    with pytest.raises(ValueError, match="int, int, int"):
+        canonical.canonical(spark.createDataFrame([], "label_id int, a_id int, b_id int, place int"), spec)
+    assert {r.shape for r in RELATIONS} <= set(relations.SHAPES)
