@@ -66,16 +66,22 @@ def base_rules(docs: DataFrame) -> DataFrame:
 def host_verdicts(rows: DataFrame, host: str = "source", failed: str = "base_failed", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """One row per host: n, n_failed, shrunk_rate and host_kept.
 
-    Failures are summed by host; the beta prior is fitted to the hosts' rates by moments, less the part of their
-    variance that counting explains, and each host's rate is shrunk towards it: hosts with few documents follow the
-    prior. A null host is a host of its own. One host alone, or hosts that all agree, give a prior of the mean rate.
+    Failures are summed by host; the beta prior has the rate of all documents as its mean, and its strength comes from how
+    much the hosts' rates, weighted by their documents, vary beyond what counting explains. Each host's rate is
+    shrunk towards the mean: hosts with few documents follow the prior. Where the hosts vary no more than by counting, the
+    prior is as strong as all documents, so the same shares give the same verdicts at every size. A null host is a
+    host of its own. One host alone, or hosts that all agree, give a prior of the mean rate.
     """
     by = staged(rows.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n"), F.count_if(failed).alias("n_failed")), "hosts")
-    rate = F.col("n_failed") / F.col("n")
-    m = by.agg(F.avg(rate).alias("mean"), F.coalesce(F.var_samp(rate), F.lit(0.0)).alias("var"), F.avg(1 / F.col("n")).alias("noise")).first()
-    mean = m["mean"] or 0.0
-    between = m["var"] - mean * (1 - mean) * (m["noise"] or 0.0)
-    strength = min(max(mean * (1 - mean) / between - 1, 1.0), 1e6) if between > 0 else 1e6
+    n, x = F.col("n").cast("double"), F.col("n_failed").cast("double")
+    m = by.agg(F.sum(n).alias("n"), F.sum(x).alias("x"), F.sum(n * n).alias("nn"), F.sum(x * x / n).alias("xx"), F.count("*").alias("hosts")).first()
+    total = m["n"] or 1.0
+    mean = (m["x"] or 0.0) / total
+    spread = mean * (1 - mean)
+    # the share of variance between hosts, as weighted moments of a beta-binomial estimate it
+    free = total - (m["nn"] or 0.0) / total - (m["hosts"] - 1)
+    share = ((m["xx"] - m["x"] * mean) / spread - (m["hosts"] - 1)) / free if spread > 0 and free > 0 else 0.0
+    strength = min(max(1 / share - 1, 1.0), total) if share > 0 else total
     shrunk = (F.col("n_failed") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))
     return by.withColumn("shrunk_rate", shrunk).withColumn("host_kept", F.col("shrunk_rate") <= max_rate)
 
@@ -120,9 +126,11 @@ WITH d AS (
 ), h AS (
   SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS x FROM f GROUP BY source
 ), m AS (
-  SELECT avg(x / n) AS mu, coalesce(var_samp(x / n), 0) - avg(x / n) * (1 - avg(x / n)) * avg(1.0 / n) AS between_var FROM h
+  SELECT sum(n)::DOUBLE AS n_all, sum(x) / sum(n) AS mu, sum(x)::DOUBLE AS x_all, sum(x * x / n) AS xx, sum(n)::DOUBLE - sum(n * n) / sum(n) - (count(*) - 1) AS free, count(*) - 1 AS others FROM h
+), s AS (
+  SELECT *, CASE WHEN mu > 0 AND mu < 1 AND free > 0 THEN ((xx - x_all * mu) / (mu * (1 - mu)) - others) / free ELSE 0 END AS share FROM m
 ), p AS (
-  SELECT mu, CASE WHEN between_var > 0 THEN least(greatest(mu * (1 - mu) / between_var - 1, 1.0), 1e6) ELSE 1e6 END AS strength FROM m
+  SELECT mu, CASE WHEN share > 0 THEN least(greatest(1 / share - 1, 1.0), n_all) ELSE n_all END AS strength FROM s
 ), v AS (
   SELECT source, (x + mu * strength) / (n + strength) <= 0.5 AS host_kept FROM h, p
 )
