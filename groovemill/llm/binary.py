@@ -17,8 +17,10 @@ from .common import bounded_batches, count_below, documents, give_back, staging
 from .tokens import encoded, encoder, vocabulary
 
 END_ID = 2
-#: Ids are below this; the table of frequencies has as many entries.
-VOCABULARY = 50_257
+#: Ids have 16 bits; the table of frequencies has an entry for each. A vocabulary with larger ids is refused.
+VOCABULARY = 1 << 16
+#: Bytes of text that a range of documents should have.
+RANGE_BYTES = 64 << 20
 IDS = "part int, seq long, doc_id long, start long, n long, ids binary, counts binary"
 BLOCKS = "part int, start long, n_ids long, doc_ids binary, no_id binary, sizes binary, words binary, checkpoints binary, checksum long"
 
@@ -32,6 +34,8 @@ def _tokenise(path: str, end_id: int):
         enc, part, seq, start = encoder(path), TaskContext.get().partitionId(), 0, 0
         counts = np.zeros(VOCABULARY, "<i8")
         for docs, flat, ends in encoded(batches, enc, end_id):
+            if len(flat) and int(flat.max()) >= VOCABULARY:
+                raise ValueError("ids have 16 bits at most")
             counts += np.bincount(flat, minlength=VOCABULARY)
             raw, edges = flat.astype("<u2").tobytes(), [0, *ends.tolist()]
             k = range(len(docs))
@@ -103,14 +107,17 @@ def _decode(freq: np.ndarray, with_ids: bool):
 def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID) -> None:
     """Writes the ids of docs(doc_id, text), each document's closed by end_id, below folder.
 
-    `blocks` has self-contained blocks of whole documents in ascending doc_id order (rows that tie by text, nulls first)
-    and `table` the frequencies that all blocks share, which are counted over all ids. A null or empty text is the end
+    `blocks` has self-contained blocks of whole documents in ascending doc_id order (rows that tie by text, nulls first),
+    in a folder for each range of documents: folders by number, and files within one by their first start, ascend.
+    `table` has the frequencies that all blocks share, which are counted over all ids. A null or empty text is the end
     id alone; an empty table writes no blocks. Both are Parquet containers, so any store that Spark reaches will do.
+    There are at least spark.sql.shuffle.partitions ranges, and more by the bytes of the texts.
     """
     bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     doc = F.col("doc_id").cast("long")
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     # the bounds come from a scan of doc_id alone; ranging by Spark would sample a scan of the texts
     bounds = docs.agg(F.percentile_approx(doc, [i / n for i in range(1, n)] or [0.5], 10 * n).alias("b")).first().b or []
     ordered = docs.select(doc.alias("doc_id"), "text").repartitionById(n, count_below(sorted(set(bounds)) if n > 1 else [], F.col("doc_id"))).sortWithinPartitions("doc_id", "text")
@@ -123,7 +130,7 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
     for r in ids.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # a row for each partition written
         bases[r.part], total = total, total + r.n
     blocks = ids.filter("seq >= 0").select("part", "seq", "doc_id", "start", "ids").mapInArrow(_encode(freq, bases), BLOCKS)
-    blocks.sortWithinPartitions("start").write.option("compression", "none").parquet(f"{folder}/blocks")
+    blocks.sortWithinPartitions("part", "start").write.partitionBy("part").option("compression", "none").parquet(f"{folder}/blocks")
 
 
 def _table(spark, folder: str) -> np.ndarray:
