@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -57,7 +58,13 @@ _DOTS = re.compile(r"[ \t]+dot[ \t]+", re.A | re.I)
 _ANY_DOT = re.compile(_DOT, re.A | re.I)
 _CHAIN = re.compile(rf"[A-Za-z0-9._%+-]++(?:{_DOT}[A-Za-z0-9._%+-]++)*+(?:([ \t]++at[ \t]++)|@|[ \t]*+[\[({{<][ \t]*+(?:at|@)[ \t]*+[\])}}>][ \t]*+)?+", re.A | re.I)
 _SITE = re.compile(rf"[A-Za-z0-9-]++(?:(?:\.|{_DOT})([A-Za-z0-9-]++))++", re.A | re.I)
-_ARTICLE = re.compile(r"(?:the|an?) ", re.A | re.I)
+_ARTICLE = re.compile(r"(?:the|an?) (?!dot [A-Za-z0-9-]+ dot )", re.A | re.I)
+#: A spaced at before a plain domain, local parts that only an address has, and fixed values: words that announce an
+#: address, and words after them that are none.
+_PLAIN_AT = re.compile(r"[ \t]at[ \t]+[A-Za-z0-9-]+\.[A-Za-z]", re.A | re.I)
+_NAMED = re.compile(r"[A-Za-z][A-Za-z0-9]*[._][A-Za-z0-9._]*[A-Za-z0-9]", re.A)
+_CUE = re.compile(r"(?<![A-Za-z])(?:e-?mail|mail|address)(?: is| me| us| to)?[ \t]*:?[ \t]+\Z", re.A | re.I)
+_NO_NAMES = frozenset(("me", "us", "him", "her", "them", "you", "it", "this", "that", "is", "to", "address", "server", "servers", "only", "here", "support"))
 
 
 def emails(text: str) -> list[Span]:
@@ -129,7 +136,8 @@ def _brackets(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
-    """Spaced at and dot of addresses. A spaced at needs a spelled dot beside it and a last label that isn't a number."""
+    """Spaced at and dot of addresses. A spaced at needs a last label that isn't a number and a spelled dot beside it; with
+    plain dots alone the local part must have a dot or underscore within, or a word like mail before it."""
     last = 0
     for m in _CHAIN.finditer(text):
         if m.start() < last or text[m.end() - 1] in _LOCAL_CHARS:
@@ -138,13 +146,22 @@ def _addresses(text: str) -> Iterator[tuple[int, int, str]]:
         if not site:
             continue
         if m[1]:
-            if site[1].isdecimal() or _ARTICLE.match(text, m.end()) or not (_ANY_DOT.search(text, m.start(), m.start(1)) or _ANY_DOT.search(text, site.start(), site.end())):
+            if site[1].isdecimal() or _ARTICLE.match(text, m.end()):
+                continue
+            if not (_ANY_DOT.search(text, m.start(), m.start(1)) or _ANY_DOT.search(text, site.start(), site.end()) or site[1].isalpha() and len(site[1]) > 1 and _announced(text, m.start(), m.start(1))):
                 continue
             yield m.start(1), m.end(1), "@"
         yield from ((d.start(), d.end(), ".") for d in _DOTS.finditer(text, m.start(), site.end()))
         last = site.end()
 
 
+def _announced(text: str, start: int, end: int) -> bool:
+    """Whether text[start:end] can only be the local part of an address, by its form or by the words before it."""
+    if _NAMED.fullmatch(text, start, end):
+        return True
+    return text[start:end].lower() not in _NO_NAMES and _CUE.search(text[max(0, start - 24) : start]) is not None
+
+
 def _numbers(text: str) -> Iterator[tuple[int, int, str]]:
     """Spelled digits, plus and dot of stretches that have the digits of a phone number or the parts of an IP address;
     whether they make one is left to the patterns. Blanks, commas and hyphens between single digits go, between others
@@ -180,7 +197,7 @@ def rewrites(text: str) -> list[tuple[int, int, str]]:
     brackets = [] if not any(c in text for c in _OPEN) else list(_brackets(text))
     found += brackets
     dots = "dot" in lower
-    if (dots or any(x == "." for *_, x in brackets)) and ("@" in text or "at" in lower):
+    if (dots or any(x == "." for *_, x in brackets)) and ("@" in text or "at" in lower) or _PLAIN_AT.search(text):
         found += _addresses(text)
     if (dots or "plus" in lower or any(w in lower for w in DIGIT_WORDS)) and _FIRST.search(text):
         found += _numbers(text)
@@ -216,8 +233,13 @@ def all_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     plain, starts, ends = normalise(text)
     if plain == text:
         return base, base
-    more = {k: sorted(set(base[k]) | {(starts[a], ends[b - 1]) for a, b in v}) for k, v in base_spans(plain).items()}
-    return base, more
+    return base, {k: sorted({*base[k], *_outside(base[k], [(starts[a], ends[b - 1]) for a, b in v])}) for k, v in base_spans(plain).items()}
+
+
+def _outside(plain: list[Span], more: list[Span]) -> list[Span]:
+    """The spans of more that aren't within one of plain; neither list has spans that overlap, both ascend."""
+    begins = [a for a, _ in plain]
+    return [(a, b) for a, b in more if not (i := bisect.bisect_right(begins, a)) or plain[i - 1][1] < b]
 
 
 def joined(spans: dict[str, list[Span]]) -> str:
@@ -241,7 +263,10 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     Spans are kind:start:end in code points of the source, end exclusive. Homoglyphs and full-width characters are
     folded, bracketed or spaced at/dot and spelled digits written plainly, and spans of the plain text are mapped back
     through each character's source range. A spaced at counts if a dot of the address is spelled or bracketed too, the
-    domain doesn't begin with an article and its last label isn't a number. Plain spans always stay. Null and empty texts have none; an empty table
+    domain doesn't begin with an article and its last label isn't a number; with plain dots alone if the local part has a
+    dot or underscore within (john.doe at example.com) or a word like mail stands before it. Plain spans always stay, so
+    one with a letter of another script may stand beside its plain part; an added span within a plain one of its kind
+    isn't given. Null and empty texts have none; an empty table
     gives no rows; other columns are left out.
     """
     bounded_batches(docs.sparkSession)
