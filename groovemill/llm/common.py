@@ -26,9 +26,12 @@ BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset and driver
+    and executors are one process (tests). Elsewhere it has to be set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = os.path.join(tempfile.gettempdir(), "checkpoints")
     return found.rstrip("/")
 
