@@ -20,10 +20,13 @@ def good(rows):
         n, _, _, _, repeated = rules(text or "")
         failed[i] = n < 20 or 100 * repeated > 30 * n
         hosts[source].append(failed[i])
-    rates = [sum(x) / len(x) for x in hosts.values()]
-    mean = sum(rates) / len(rates)
-    between = float(np.var(rates, ddof=1)) - mean * (1 - mean) * sum(1 / len(x) for x in hosts.values()) / len(hosts)
-    strength = min(max(mean * (1 - mean) / between - 1, 1.0), 1e6) if between > 0 else 1e6
+    every = [f for x in hosts.values() for f in x]
+    total, mean = len(every), sum(every) / len(every)
+    spread, others = mean * (1 - mean), len(hosts) - 1
+    varies = sum(len(x) * (sum(x) / len(x) - mean) ** 2 for x in hosts.values()) / spread if spread else 0.0
+    free = total - sum(len(x) ** 2 for x in hosts.values()) / total - others
+    share = (varies - others) / free if free > 0 else 0.0
+    strength = min(max(1 / share - 1, 1.0), total) if share > 0 else total
     kept = {h: (sum(x) + mean * strength) / (len(x) + strength) <= 0.5 for h, x in hosts.items()}
     return {i: r for i, r in rows.items() if not failed[i] and kept[r[1]]}
 

@@ -84,6 +84,14 @@ def test_host_verdicts(spark):
     assert all(r.host_kept and r.shrunk_rate == 0 for r in same.collect())
 
 
+def test_host_verdicts_hold_at_every_size(spark):
+    """A hot host of a third of the rows that fails beside many small ones: equal shares, equal verdicts."""
+    for times in (1, 20):
+        rows = [("hot", k < 90 * times) for k in range(100 * times)] + [(f"h{k}", k % 10 == 0) for k in range(200 * times)]
+        got = {r.host: r for r in quality.host_verdicts(spark.createDataFrame(rows, "source string, base_failed boolean")).collect()}
+        assert not got["hot"].host_kept and 0.85 < got["hot"].shrunk_rate <= 0.9 and got["h1"].host_kept
+
+
 @pytest.mark.parametrize("slack", [0.0, 0.25])
 def test_shards(spark, docs, slack):
     rows = spark.range(0, 5003).select(F.col("id").alias("doc_id"), F.lit("x").alias("shard"))
