@@ -128,9 +128,14 @@ def existing_roots_union(spark, d):
     return merge.existing_roots({"lineitem": (t(spark, d, "lineitem"), "l_orderkey"), "orders": (t(spark, d, "orders"), "o_orderkey")}, roots)
 
 
-_OLD = "SELECT DISTINCT l_orderkey AS root, CASE WHEN l_linenumber % 5 <> 0 THEN l_partkey END AS part, 'old' AS stamp FROM {lineitem} WHERE l_orderkey % 3 <> 0"
-_NEW = "SELECT DISTINCT l_orderkey AS root, CASE WHEN l_linenumber % 5 <> 0 THEN l_partkey END AS part, 'new' AS stamp FROM {lineitem} WHERE l_orderkey % 3 <> 1 AND l_quantity > 10"
-_TOUCHED = "SELECT DISTINCT l_orderkey AS root FROM {lineitem} WHERE l_orderkey % 3 <> 1"
+# All rows of a table are on both sides. Roots that only one side has are given by a minus sign: of every third root on
+# the old side, of the ones after those on the new side. A new row with a small quantity has another part. Touched are the
+# new side's roots and all with a minus sign, so the old side's have lost all their rows.
+_PART = "CASE WHEN l_linenumber % 5 <> 0 THEN {} END AS part"
+_OLD = f"SELECT DISTINCT CASE WHEN l_orderkey % 3 = 0 THEN -l_orderkey ELSE l_orderkey END AS root, {_PART.format('l_partkey')}, 'old' AS stamp FROM {{lineitem}}"
+_NEW_ROOT = "CASE WHEN l_orderkey % 3 = 1 THEN -l_orderkey ELSE l_orderkey END AS root"
+_NEW = f"SELECT DISTINCT {_NEW_ROOT}, {_PART.format('l_partkey + CASE WHEN l_quantity > 10 THEN 0 ELSE 1 END')}, 'new' AS stamp FROM {{lineitem}}"
+_TOUCHED = f"SELECT {_NEW_ROOT} FROM {{lineitem}} UNION SELECT -l_orderkey FROM {{lineitem}}"
 _WITH = f"WITH o AS ({_OLD}), n AS ({_NEW}), r AS ({_TOUCHED})".replace("{lineitem}", "lineitem")
 
 
@@ -150,8 +155,8 @@ def converge_relation(spark, d):
     return merge.converge(old, new, "root", ["root", "part"], touched)
 
 
-_UOLD = "SELECT o_orderkey AS id, o_orderpriority AS title, o_custkey AS main, DATE '2020-01-01' AS created_at, DATE '2020-01-01' AS last_modified_at FROM {orders} WHERE o_orderkey % 3 <> 0"
-_UNEW = "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN NULLIF(o_orderpriority, '5-LOW') ELSE o_orderpriority END AS title, o_custkey + 1 AS main, DATE '2021-01-01' AS created_at, DATE '2021-01-01' AS last_modified_at FROM {orders} WHERE o_orderkey % 3 <> 1"
+_UOLD = "SELECT CASE WHEN o_orderkey % 3 = 0 THEN -o_orderkey ELSE o_orderkey END AS id, o_orderpriority AS title, o_custkey AS main, DATE '2020-01-01' AS created_at, DATE '2020-01-01' AS last_modified_at FROM {orders}"
+_UNEW = "SELECT CASE WHEN o_orderkey % 3 = 1 THEN -o_orderkey ELSE o_orderkey END AS id, CASE WHEN o_orderkey % 2 = 0 THEN NULLIF(o_orderpriority, '5-LOW') ELSE o_orderpriority END AS title, o_custkey + 1 AS main, DATE '2021-01-01' AS created_at, DATE '2021-01-01' AS last_modified_at FROM {orders}"
 
 
 @query(f"WITH o AS ({_UOLD}), n AS ({_UNEW})".replace("{orders}", "orders") + " SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL OR (n.id IS NOT NULL AND o.title IS DISTINCT FROM n.title) THEN n.title ELSE o.title END AS title, coalesce(o.main, n.main) AS main, coalesce(o.created_at, n.created_at) AS created_at, CASE WHEN o.id IS NULL OR (n.id IS NOT NULL AND o.title IS DISTINCT FROM n.title) THEN n.last_modified_at ELSE o.last_modified_at END AS last_modified_at FROM o FULL JOIN n ON o.id = n.id", "created_at", "last_modified_at")
