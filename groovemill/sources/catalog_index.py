@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from urllib.error import HTTPError
 from urllib.parse import quote, urlsplit
+from urllib.request import Request, urlopen
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,8 +133,51 @@ def is_valid(path: str, checksum: str | None = None, size: int | None = None) ->
     return sha256_of(path) == checksum.lower() if checksum else os.path.getsize(path) == size
 
 
-def fetch(url: str, path: str, get: Callable[[str], bytes], checksum: str | None = None, size: int | None = None) -> str:
-    """The path of a verified file: what is there if it is valid, else fetched anew, and twice at most."""
+#: Seconds without an answer after which a request fails, and bytes of a file that are held at once.
+TIMEOUT, PART_BYTES = 60.0, 1 << 20
+
+
+def _open(url: str, method: str = "GET"):
+    catalog_base(url)
+    return urlopen(Request(url, method=method), timeout=TIMEOUT)
+
+
+def page(url: str) -> str:
+    """The text of a page or listing."""
+    with _open(url) as answer:
+        return answer.read().decode()
+
+
+def manifest_text(url: str) -> str:
+    """The checksum lines of a date; a date without them (404) has none. Other failures are errors."""
+    try:
+        return page(url)
+    except HTTPError as e:
+        if e.code == 404:
+            return ""
+        raise
+
+
+def dump_size(url: str) -> int:
+    """The bytes of a dump by its header; FileProblem unless it tells a positive number."""
+    with _open(url, "HEAD") as answer:
+        told = answer.headers.get("Content-Length") or ""
+    if not re.fullmatch("0*[1-9][0-9]*", told, re.ASCII):
+        raise FileProblem(f"{url} tells no size")
+    return int(told)
+
+
+def parts(url: str) -> Iterator[bytes]:
+    """A file in parts, as fetch() takes them: dumps don't fit into memory."""
+    with _open(url) as answer:
+        while part := answer.read(PART_BYTES):
+            yield part
+
+
+def fetch(url: str, path: str, get: Callable[[str], bytes | Iterable[bytes]] = parts, checksum: str | None = None, size: int | None = None) -> str:
+    """The path of a verified file: what is there if it is valid, else fetched anew, and twice at most.
+
+    get gives the file's bytes, or parts of them that are written one after another."""
     for _ in range(2):
         if is_valid(path, checksum, size):
             return path
@@ -140,7 +185,8 @@ def fetch(url: str, path: str, get: Callable[[str], bytes], checksum: str | None
             os.remove(path)
         part = f"{path}.part"
         with open(part, "wb") as f:
-            f.write(get(url))
+            got = get(url)
+            f.writelines([got] if isinstance(got, bytes) else got)
         os.replace(part, path)
     if is_valid(path, checksum, size):
         return path

@@ -52,6 +52,55 @@ def test_fetch_verifies_twice(tmp_path):
         ci.fetch("u", path, lambda u: b"x", size=9)
 
 
+@pytest.fixture
+def site():
+    """A catalog's address that answers with one dump of 3 MB; /none is absent, /empty has no bytes, /broken fails."""
+    import http.server
+    import threading
+
+    body = bytes(range(256)) * 12_000
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            found = {"/none": (404, b""), "/empty": (200, b""), "/broken": (500, b""), "/sums": (200, b"ab  x\n")}
+            code, sent = found.get(self.path, (200, body))
+            self.send_response(code)
+            self.send_header("Content-Length", str(len(sent)))
+            self.end_headers()
+            if self.command == "GET":
+                self.wfile.write(sent)
+
+        do_HEAD = do_GET
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", body
+    server.shutdown()
+    server.server_close()
+
+
+def test_requests(site, tmp_path):
+    base, body = site
+    assert ci.page(f"{base}/sums") == ci.manifest_text(f"{base}/sums") == "ab  x\n"
+    assert ci.manifest_text(f"{base}/none") == ""
+    for call, path in ((ci.manifest_text, "broken"), (ci.page, "none"), (ci.dump_size, "none")):
+        with pytest.raises(OSError):
+            call(f"{base}/{path}")
+    assert ci.dump_size(f"{base}/dump") == len(body)
+    with pytest.raises(FileProblem):
+        ci.dump_size(f"{base}/empty")
+    with pytest.raises(InvalidArgument):
+        ci.page("file:///etc/hostname")
+    assert max(map(len, ci.parts(f"{base}/dump"))) <= ci.PART_BYTES
+    path = str(tmp_path / "dump")
+    assert ci.fetch(f"{base}/dump", path, checksum=hashlib.sha256(body).hexdigest()) == path
+    with open(path, "rb") as f:
+        assert f.read() == body
+
+
 def dumps(spark, *rows):
     return spark.createDataFrame([(i, f"e{i}", dt.date.fromisoformat(d), t, f"{i:064x}", 1, f"u{i}") for i, d, t in rows], "id long, etag string, dump_date date, entity_type string, checksum_sha256 string, size_bytes long, uri string")
 
