@@ -43,11 +43,27 @@ def staging(spark: SparkSession) -> str:
 
 def drop_staged(spark: SparkSession) -> bool:
     """Removes all tables that this application has staged; results that still read them are lost."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staging(spark))
+    return drop_folder(spark, staging(spark))
+
+
+def drop_folder(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within, the shuffles of a query are removed as it ends, not when the driver next collects garbage. For writes: what
+    is read again is in files."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    found = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if found is None else spark.conf.set(key, found)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet under the shared folder and reads it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession

@@ -1,7 +1,9 @@
 """Operators that read texts: packing, token files, n-gram join, personal data, against brute force or a round trip."""
 
+import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from groovemill.llm import binary, ngram_join, packing, pii, rans, shingles, tokens
-from groovemill.llm.common import IdFilter
+from groovemill.llm.common import IdFilter, shuffles_dropped
 from groovemill.llm.graph import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -175,6 +177,52 @@ def test_token_files(spark, docs, nothing, enc, tmp_path):
     assert binary.read_ids(spark, str(tmp_path / "e")).collect() == []
 
 
+def shuffles(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f: os.path.getsize(f) for f in found if "/shuffle_" in f and os.path.exists(f)}
+
+
+def shuffled(spark, there, most):
+    """Bytes of shuffles that weren't there; waits a little until they are at most so many, as removal may lag."""
+    for _ in range(20):
+        now = sum(n for f, n in shuffles(spark).items() if f not in there)
+        if now <= most:
+            break
+        time.sleep(0.2)
+    return now
+
+
+def test_shuffles_of_a_query_that_is_held_are_dropped(spark):
+    """While the plan is held, no garbage collection can take its shuffle."""
+    there = shuffles(spark)
+    with shuffles_dropped(spark):
+        held = spark.range(100_000).repartition(4, "id").sortWithinPartitions("id")
+        assert len(held.collect()) == 100_000
+    assert not shuffled(spark, there, 0)
+    assert len(held.collect()) == 100_000  # made again
+
+
+def test_token_files_leave_little_on_the_way(spark, tmp_path, monkeypatch):
+    """When blocks begin, the texts' shuffle is gone and the staged ids take less than their two bytes; in the end only blocks and table stay."""
+    there, seen, encode = shuffles(spark), {}, binary._encode
+
+    def watched(freq, bases):
+        seen["shuffled"] = shuffled(spark, there, seen["texts"] / 20)
+        seen["ids"] = sum(f.stat().st_size for f in (tmp_path / "f" / "ids").glob("*.parquet"))
+        return encode(freq, bases)
+
+    monkeypatch.setattr(binary, "_encode", watched)
+    words = random.Random(7).choices([f"w{i}" for i in range(400)], k=300_000)
+    rows = [(i, " ".join(words[1000 * i : 1000 * i + 1000])) for i in range(300)]
+    seen["texts"] = sum(len(t) for _, t in rows)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    binary.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "f"))
+    tokens = binary.read_ids(spark, str(tmp_path / "f")).agg({"n_tokens": "sum"}).first()[0]
+    assert seen["shuffled"] < seen["texts"] / 20 and seen["ids"] < 1.6 * tokens
+    assert sorted(p.name for p in (tmp_path / "f").iterdir()) == ["blocks", "table"] and spark.conf.get(key, None) == before
+
+
 def shingle_set(text):
     w = WORD.findall((text or "").translate(LOW))
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
